@@ -10,19 +10,16 @@ from .text import split_trimmed
 def ip_to_long(ip: Column) -> Column:
     """Dotted text to a number: eight bits per octet, octets joined by OR.
 
-    NULL for text that is not dotted integers. Only the last eight octets can
-    leave a bit in a 64-bit number, so the sum is written out instead of folded
-    over the array, which keeps it inside generated code.
+    NULL for text that is not dotted integers.
     """
-    octets = split_trimmed(ip, ".")
-    n = F.size(octets)
-    number = F.lit(0).cast("bigint")
-    for i in range(8):
-        octet = F.when(n > i, F.get(octets, n - 1 - i).try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-        number = number.bitwiseOR(F.shiftleft(octet, 8 * i))
+    number = F.aggregate(
+        split_trimmed(ip, "."),
+        F.lit(0).cast("bigint"),
+        lambda acc, octet: F.shiftleft(acc, 8).bitwiseOR(octet.try_cast("bigint")),
+    )
     return (
-        F.when(ip.rlike(r"^\.+$"), F.lit(0).cast("bigint"))
-        .when(ip.rlike(r"^[0-9.+-]+$"), number)
+        F.when(ip.rlike(r"\A\.+\z"), F.lit(0).cast("bigint"))
+        .when(ip.rlike(r"\A[0-9.+-]+\z"), number)
     )
 
 

@@ -8,6 +8,11 @@ from pyspark.sql import Column, functions as F
 
 NON_BLANK = r"\P{javaWhitespace}"
 
+# One k=v item between ampersands: exactly two sides, neither of them blank,
+# equals signs at its end not counted.
+_SIDE = r"(\p{javaWhitespace}*[^=&\p{javaWhitespace}][^=&]*)"
+PAIR = rf"(?<![^&]){_SIDE}={_SIDE}=*(?=&|\z)"
+
 
 def not_blank(c: Column) -> Column:
     """Holds at least one non-whitespace character (Unicode); NULL counts as blank."""
@@ -16,52 +21,52 @@ def not_blank(c: Column) -> Column:
 
 def split_trimmed(c: Column, sep: str) -> Column:
     """Split on one literal character, ignoring separators at the end of the text."""
-    klass = "[" + re.escape(sep) + "]"
-    return F.split(F.regexp_replace(c, klass + "+$", ""), klass)
+    # an escaped or plain single character is split without a regular expression
+    return F.split(F.rtrim(c, F.lit(sep)), re.escape(sep))
 
 
-def query_pairs(request: Column) -> Column:
-    """Decoded ``k=v`` pairs behind the single ``?`` of a request.
+def query_text(request: Column) -> Column:
+    """What follows the single ``?`` of a request; empty if there is none or a second part follows."""
+    return F.regexp_extract(request, r"\A[^?]*\?([^?]+)\?*\z", 1)
 
-    Array of (k, i, v) sorted by key and position; an undecodable key or value
-    is NULL. A pair counts only if it has exactly two non-blank sides. A request
-    with no query text, or with a second query part, has no pairs.
-    """
-    parts = split_trimmed(request, "?")
-    text = F.when((F.size(parts) == 2) & not_blank(F.get(parts, F.lit(1))), F.get(parts, F.lit(1)))
-    sides = F.transform(F.split(text, "&"), lambda item: split_trimmed(item, "="))
-    kept = F.filter(
-        sides,
-        lambda s: (F.size(s) == 2) & not_blank(F.get(s, F.lit(0))) & not_blank(F.get(s, F.lit(1))),
-    )
-    decoded = F.transform(
-        kept,
-        lambda s, i: F.struct(
-            F.try_url_decode(F.get(s, F.lit(0))).alias("k"),
-            i.alias("i"),
-            F.try_url_decode(F.get(s, F.lit(1))).alias("v"),
-        ),
-    )
-    empty = F.array().cast("array<struct<k:string,i:int,v:string>>")
-    return F.array_sort(F.coalesce(decoded, empty))
+
+def query_keys(text: Column) -> Column:
+    """Left sides of the well-formed pairs of a query text, in order, still encoded."""
+    return F.regexp_extract_all(text, F.lit(PAIR), F.lit(1))
+
+
+def query_values(text: Column) -> Column:
+    """Right sides, aligned with ``query_keys``."""
+    return F.regexp_extract_all(text, F.lit(PAIR), F.lit(2))
+
+
+def is_encoded(text: Column) -> Column:
+    return text.contains("%") | text.contains("+")
+
+
+def decode_all(items: Column, encoded: Column) -> Column:
+    """URL-decode each item; NULL where the escape is broken. Plain texts skip the work."""
+    return F.when(encoded, F.transform(items, F.try_url_decode)).otherwise(items)
 
 
-def has_bad_escape(pairs: Column) -> Column:
-    return F.exists(pairs, lambda p: p["k"].isNull() | p["v"].isNull())
+def has_null(items: Column) -> Column:
+    return F.exists(items, lambda item: item.isNull())
 
 
-def last_value_map(pairs: Column) -> Column:
-    """Pairs sorted by (key, position) to a map in which the last value of a key wins.
+def last_value_map(keys: Column, values: Column, plain: Column) -> Column:
+    """Aligned keys and values to a map in which the last value of a key wins; NULL keys are left out.
 
-    ``pairs`` should be a plain column: the lambda looks one element ahead, and a
-    computed expression would be evaluated again for every element.
+    ``plain`` says that no key is NULL. Then, and without repeated keys, the
+    arrays are the map already. All arguments should be plain columns.
     """
-    last = F.filter(
-        pairs,
-        lambda p, i: p["k"].isNotNull()
-        & F.coalesce(F.get(pairs, i + 1)["k"] != p["k"], F.lit(True)),
+    newest_keys, newest_values = F.reverse(keys), F.reverse(values)
+    unique = F.array_compact(F.array_distinct(newest_keys))
+    newest = F.transform(
+        unique, lambda k: F.element_at(newest_values, F.array_position(newest_keys, k).cast("int"))
     )
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"], p["v"])))
+    return F.when(
+        plain & (F.size(F.array_distinct(keys)) == F.size(keys)), F.map_from_arrays(keys, values)
+    ).otherwise(F.map_from_arrays(unique, newest))
 
 
 def device_class(user_agent: Column) -> Column:
@@ -76,4 +81,4 @@ def device_class(user_agent: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Space separated words; empty strings between double spaces are kept, at the end dropped."""
-    return F.split(F.regexp_replace(text, " +$", ""), " ")
+    return F.split(F.rtrim(text, F.lit(" ")), " ")

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from ..functions.barrier import computed_once
 from ..functions.ip import ip_to_long
-from ..functions.text import has_bad_escape, last_value_map, not_blank, query_pairs, split_trimmed
+from ..functions.text import (
+    decode_all, has_null, is_encoded, last_value_map, not_blank, query_keys, query_text, query_values, split_trimmed,
+)
 from ..schemas import PARAM_COLUMNS, REGION_COLUMNS
 
 
-def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns the optimizer must not copy into later expressions and filters.
-
-    A filter on a derived column is pushed below the projection with the whole
-    expression written out at every use. Output of a generator is not, so the
-    columns are passed through a one-element ``explode``.
-    """
-    one = F.explode(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
-    return df.select("*", one.alias("_one")).select(*df.columns, *[F.col("_one")[c].alias(c) for c in columns])
+def with_pairs(df: DataFrame, query: str = "query") -> DataFrame:
+    """Add the decoded ``keys`` and ``vals`` of a query text, and ``bad_escape``."""
+    encoded = is_encoded(F.col(query))
+    decoded = df.select(
+        "*",
+        decode_all(query_keys(F.col(query)), encoded).alias("keys"),
+        decode_all(query_values(F.col(query)), encoded).alias("vals"),
+    )
+    bad = encoded & (has_null(F.col("keys")) | has_null(F.col("vals")))
+    return computed_once(decoded, keys=F.col("keys"), vals=F.col("vals"), bad_escape=bad)
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -34,13 +38,13 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         .select(F.col(value).alias("line"), *extra, split_trimmed(F.col(value), "|").alias("f"))
         .filter(F.size("f") == 4)
     )
-    paired = computed_once(fields, pairs=query_pairs(F.get("f", F.lit(3))))
+    queried = fields.select("line", *extra, "f", query_text(F.get("f", F.lit(3))).alias("query"))
     raw = computed_once(
-        paired,
+        with_pairs(queried),
         line_ip=F.get("f", F.lit(0)),
         line_time=F.get("f", F.lit(1)),
-        params=last_value_map(F.col("pairs")),
-        bad_escape=has_bad_escape(F.col("pairs")),
+        line_ip_num=ip_to_long(F.get("f", F.lit(0))),
+        params=last_value_map(F.col("keys"), F.col("vals"), ~F.col("bad_escape")),
     )
     param = lambda name: F.element_at("params", F.lit(name))
     # a parameter named like a stored field replaces it; the lookup keeps the line's own ip
@@ -50,7 +54,7 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         F.coalesce(param("ip"), "line_ip").alias("ip"),
         F.coalesce(param("access_time"), "line_time").try_cast("bigint").alias("access_time"),
         *[param(c).alias(c) for c in REGION_COLUMNS + PARAM_COLUMNS],
-        ip_to_long(F.col("line_ip")).alias("line_ip_num"),
+        "line_ip_num",
         "params",
         "bad_escape",
     )

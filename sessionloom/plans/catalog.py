@@ -66,9 +66,9 @@ def bad_records(spark, sf_dir):
 @query
 def parse_params(spark, sf_dir):
     """Query parameters of every crawled page address."""
-    pages = derived.load(spark, sf_dir, "pages").select("page_id", "url")
-    pairs = pages.withColumn("pairs", text.query_pairs(F.col("url")))
-    return pairs.select("page_id", F.explode(text.last_value_map(F.col("pairs"))).alias("name", "val"))
+    pages = derived.load(spark, sf_dir, "pages").select("page_id", text.query_text(F.col("url")).alias("query"))
+    params = text.last_value_map(F.col("keys"), F.col("vals"), ~F.col("bad_escape"))
+    return parse.with_pairs(pages).select("page_id", F.explode(params).alias("name", "val"))
 
 
 @query

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.barrier import computed_once
 from ..functions.ip import long_to_ip
 from ..operators.regions import resolve_regions
 
@@ -109,7 +110,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 3, F.lit(" \t "))
         .otherwise(line)
     )
-    return v.select(value.alias("value"))
+    return computed_once(v, value=value).select("value")
 
 
 def weblog_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
