@@ -20,13 +20,12 @@ ALL = "all"
 
 VIEW_EVENTS = [PAGE_VIEW, PRODUCT_VIEW]
 
-RULE_SCHEMA = T.StructType([
-    T.StructField("start_ip", T.LongType()),
-    T.StructField("end_ip", T.LongType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("province", T.StringType()),
-    T.StructField("city", T.StringType()),
-])
+
+def table(**columns: str) -> T.StructType:
+    """A schema from column names and simple type names."""
+    kinds = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "date": T.DateType()}
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in columns.items()])
+
 
 # The twelve known columns of a stored event, every other parameter in ``params``.
 EVENT_SCHEMA = T.StructType(

@@ -34,7 +34,7 @@ def _committed_bases(spark: SparkSession, path: str) -> list[int]:
 
 def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Rows of the newest base and of all batches after it, with ``batch_id``."""
-    wide = StructType(list(schema.fields)).add("batch_id", "bigint")
+    wide = StructType(list(schema.fields)).add("batch_id", "long")
     bases = _committed_bases(spark, path)
     upto = bases[-1] if bases else -1
     deltas = read_or_empty(spark, f"{path}/deltas", wide).filter(F.col("batch_id") > upto)

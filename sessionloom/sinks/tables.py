@@ -15,8 +15,8 @@ from ..schemas import EVENT_COLUMNS
 def write_event_load(events: DataFrame, base: str, load_day: str) -> None:
     """Store the events of one load, one row per key; loading a day again replaces it whole.
 
-    Rows are spread by date and user before the write, so that a day is written
-    by many tasks and a date with few late events by few.
+    Rows stay where the key shuffle put them: a day is written by many tasks, each
+    into the one or two dates it holds.
     """
     day = checked_date(load_day)
     rows = dedup_events(events.select(*EVENT_COLUMNS, "params"))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.dates import checked_date, day_start, next_day
 from ..operators.dedup import EVENT_KEY, latest_per_key
-from ..schemas import ANALYSIS_COLUMNS, EVENT_SCHEMA
+from ..schemas import ANALYSIS_COLUMNS, EVENT_SCHEMA, table
 from .logs import MissingInput
 
-TABLE_SCHEMA = EVENT_SCHEMA.add("load_day", "date").add("dt", "date")
+TABLE_SCHEMA = StructType([*EVENT_SCHEMA.fields, *table(load_day="date", dt="date").fields])
 
 
 def day_slice(events: DataFrame, date: str) -> DataFrame:

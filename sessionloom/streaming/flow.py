@@ -13,7 +13,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from ..operators.dims import LOCATION_KEY
 from ..operators.locations import FLOW_LEVELS
@@ -21,20 +20,20 @@ from ..operators.rollup import fan_out
 from ..operators.upsert import latest_flow
 from ..plans import facts
 from ..plans.etl import located_events
-from ..schemas import LAUNCH, VIEW_EVENTS
+from ..schemas import LAUNCH, VIEW_EVENTS, table
 from ..sinks.batchlog import append_batch, compact, read_log
 from .start import FLOW_EVERY, start_batches
 
 WATERMARK = "7 days"
 COMPACT_EVERY = 200
 LABEL = ["dt", *LOCATION_KEY]
-FLOW_LOG = StructType.fromDDL(
-    "dt date, country string, province string, city string, nu bigint, pv bigint, "
-    "new_users bigint, new_sessions bigint, bounce_change bigint"
+FLOW_LOG = table(
+    dt="date", country="string", province="string", city="string", nu="bigint", pv="bigint",
+    new_users="bigint", new_sessions="bigint", bounce_change="bigint",
 )
-FACT_LOG = StructType.fromDDL(
-    "date_dimension_id int, location_dimension_id int, nu bigint, uv bigint, pv bigint, sn bigint, "
-    "`on` bigint, created string"
+FACT_LOG = table(
+    date_dimension_id="int", location_dimension_id="int", nu="bigint", uv="bigint", pv="bigint", sn="bigint",
+    on="bigint", created="string",
 )
 FACT_KEY = ["date_dimension_id", "location_dimension_id"]
 

@@ -10,12 +10,12 @@ from ..operators.visits import SESSION_GAP_MS
 def closed_sessions(events: DataFrame, gap_ms: int = SESSION_GAP_MS, watermark: str = "1 hour") -> DataFrame:
     """Start, end and size per user and session, as ``session_summary`` without the number.
 
-    Spark's session window splits when the pause reaches its length; a session
-    here only ends when the pause is longer than the gap, hence one millisecond more.
+    Like the batch operator, Spark's session window goes on when the pause equals
+    the gap and ends when it is longer.
     """
     timed = events.withColumn("ts", F.timestamp_millis("access_time")).withWatermark("ts", watermark)
     return (
-        timed.groupBy("uid", F.session_window("ts", f"{gap_ms + 1} milliseconds"))
+        timed.groupBy("uid", F.session_window("ts", f"{gap_ms} milliseconds"))
         .agg(F.min("access_time").alias("start_ts"), F.max("access_time").alias("end_ts"), F.count("*").alias("n"))
         .drop("session_window")
     )

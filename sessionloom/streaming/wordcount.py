@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from ..operators.wordcount import word_count
+from ..schemas import table
 from ..sinks.batchlog import append_batch, read_log
 from .start import WORDS_EVERY, start_batches
 
-WORD_LOG = StructType.fromDDL("word string, n bigint")
+WORD_LOG = table(word="string", n="bigint")
 
 
 def start_word_count(lines: DataFrame, path: str, checkpoint: str, every: str | None = WORDS_EVERY) -> StreamingQuery:
