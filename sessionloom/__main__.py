@@ -1,4 +1,4 @@
-"""Command line: ``python -m sessionloom etl|daily …`` (or through spark-submit)."""
+"""Command line: ``python -m sessionloom etl|daily|flow …`` (or through spark-submit)."""
 
 from __future__ import annotations
 
@@ -7,6 +7,10 @@ import argparse
 from .plans.daily import run_daily
 from .plans.etl import run_etl
 from .session import build_session
+from .sources.ip_rules import read_ip_rules
+from .sources.streams import kafka_lines, text_lines
+from .streaming.flow import start_flow
+from .streaming.start import FLOW_EVERY
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -20,12 +24,31 @@ def main(argv: list[str] | None = None) -> None:
     daily = jobs.add_parser("daily", help="write the facts of one day")
     daily.add_argument("date")
     daily.add_argument("--warehouse", required=True)
+    flow = jobs.add_parser("flow", help="keep the flow per place up to date from a stream of log lines")
+    source = flow.add_mutually_exclusive_group(required=True)
+    source.add_argument("--path", help="folder that receives text files")
+    source.add_argument("--servers", help="Kafka bootstrap servers (needs the connector)")
+    flow.add_argument("--topics", nargs="+", default=["event_log"])
+    flow.add_argument("--reset", default="latest", help="where to begin without a checkpoint")
+    flow.add_argument("--max-offsets", type=int)
+    flow.add_argument("--ip-rules", required=True)
+    flow.add_argument("--warehouse", required=True)
+    flow.add_argument("--checkpoint", required=True)
+    flow.add_argument("--every", default=FLOW_EVERY, help="micro-batch interval")
+    flow.add_argument("--once", action="store_true", help="take what is there and stop")
     args = parser.parse_args(argv)
     spark = build_session(f"sessionloom-{args.job}")
     if args.job == "etl":
         run_etl(spark, args.date, args.logs, args.ip_rules, args.warehouse)
-    else:
+    elif args.job == "daily":
         run_daily(spark, args.date, args.warehouse)
+    else:
+        lines = text_lines(spark, args.path) if args.path else kafka_lines(
+            spark, args.servers, args.topics, reset=args.reset, max_offsets_per_trigger=args.max_offsets)
+        start_flow(
+            lines, read_ip_rules(spark, args.ip_rules), f"{args.warehouse}/flow_log", args.checkpoint,
+            warehouse=args.warehouse, every=None if args.once else args.every,
+        ).awaitTermination()
 
 
 if __name__ == "__main__":

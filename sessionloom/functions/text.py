@@ -10,8 +10,8 @@ NON_BLANK = r"\P{javaWhitespace}"
 
 # One k=v item between ampersands: exactly two sides, neither of them blank,
 # equals signs at its end not counted.
-_SIDE = r"(\p{javaWhitespace}*[^=&\p{javaWhitespace}][^=&]*)"
-PAIR = rf"(?<![^&]){_SIDE}={_SIDE}=*(?=&|\z)"
+_SIDE = r"(\p{javaWhitespace}*+[^=&\p{javaWhitespace}][^=&]*+)"
+PAIR = rf"(?<![^&]){_SIDE}={_SIDE}=*+(?=&|\z)"
 
 
 def not_blank(c: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schemas import REGION_COLUMNS, UNKNOWN
+from ..session import written_once
 
 SLICE_BITS = 16
 MAX_IP = (1 << 32) - 1
@@ -23,6 +24,11 @@ def slice_rules(rules: DataFrame) -> DataFrame:
     )
 
 
+def count_slices(rules: DataFrame) -> int:
+    touched = F.shiftright("end_ip", SLICE_BITS) - F.shiftright("start_ip", SLICE_BITS) + 1
+    return rules.agg(F.sum(touched).alias("n")).first()["n"] or 0
+
+
 def check_rules(rules: DataFrame) -> None:
     """Raise unless every rule is complete, within IPv4 and disjoint from the others.
 
@@ -48,15 +54,14 @@ def resolve_regions(
 ) -> DataFrame:
     """Add country, province, city; columns already set in ``events`` win, misses are ``unknown``.
 
-    The sliced rules are counted first. Up to ``broadcast_rows`` they are
+    The slices are counted first, by arithmetic on the rules. Up to ``broadcast_rows`` they are
     broadcast and events are not shuffled at all; beyond it ``_resolve_by_shuffle``.
     """
     slices = slice_rules(rules).select(
         "ip_slice", "start_ip", "end_ip", *[F.col(c).alias("rule_" + c) for c in REGION_COLUMNS]
     )
     # a stream always takes the map-side join, so its rule set must stay within the bound
-    small = slices.limit(broadcast_rows + 1).count() <= broadcast_rows
-    if small:
+    if count_slices(rules) <= broadcast_rows:
         joined = _range_join(events, F.broadcast(slices), ip_num)
     elif events.isStreaming:
         raise ValueError(f"more than {broadcast_rows} rule slices: raise broadcast_rows for a stream")
@@ -84,17 +89,22 @@ def _resolve_by_shuffle(events: DataFrame, slices: DataFrame, ip_num: str) -> Da
 
     Distinct addresses are counted (combined before the shuffle) and only they
     meet the rules: a slice holds at most 65,536 of them. Addresses with more than
-    1/1000 of all rows, fewer than 1000 by arithmetic, come back by broadcast;
-    the rest by an equality join in which no key is large.
+    1/1000 of all rows, fewer than 1000 by arithmetic, come back by broadcast, so
+    their rows are not shuffled; the rest by an equality join in which no key is
+    large. The counts and the located addresses are written once; ``events`` is
+    read three times, so give a stored table where reading it is costly.
     """
-    counted = events.groupBy(F.col(ip_num).alias("known_ip")).agg(F.count("*").alias("ip_rows"))
-    known = _range_join(counted, slices, "known_ip")
-    total = events.count()
-    marked = known.withColumn("hot", F.col("ip_rows") * HOT_SHARE > F.lit(total)).drop("ip_rows")
-    hot = F.broadcast(marked.filter("hot").drop("hot"))
-    cold = marked.filter("NOT hot").drop("hot")
+    counted = written_once(events.groupBy(F.col(ip_num).alias("known_ip")).agg(F.count("*").alias("ip_rows")))
+    total = counted.agg(F.sum("ip_rows").alias("n")).first()["n"] or 0
+    located = written_once(
+        _range_join(counted, slices, "known_ip")
+        .withColumn("hot", F.col("ip_rows") * HOT_SHARE > F.lit(total))
+        .drop("ip_rows")
+    )
+    hot = F.broadcast(located.filter("hot").drop("hot"))
+    cold = located.filter("NOT hot").drop("hot")
     same = F.col(ip_num).eqNullSafe(F.col("known_ip"))
     from_hot = events.join(hot, same, "inner").drop("known_ip")
-    rest = events.join(F.broadcast(marked.filter("hot").select("known_ip")), same, "left_anti")
+    rest = events.join(hot.select("known_ip"), same, "left_anti")
     from_cold = rest.join(cold, same, "inner").drop("known_ip")
     return from_hot.unionByName(from_cold)

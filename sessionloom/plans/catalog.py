@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..functions import dates, text
-from ..functions.ip import ip_to_long
+from ..functions import dates, ip, packed, text
 from ..operators import (
     cube, dedup, dims, grain, locations, parse, products, regions, sessions, upsert, users, visits, wordcount,
 )
 from ..schemas import ALL
-from ..session import pin_utc
+from ..session import pin_utc, written_once
 from ..sources import derived
 from ..sources.event_table import day_slice
 from ..sources.ip_rules import rule_columns
@@ -72,9 +71,9 @@ def parse_params(spark, sf_dir):
 
 
 @query
-def ip_to_long_text(spark, sf_dir):
+def ip_to_long(spark, sf_dir):
     v = derived.visits(spark, sf_dir)
-    return v.select("event_id", "ip", ip_to_long(F.col("ip")).alias("ip_number"))
+    return v.select("event_id", "ip", ip.ip_to_long(F.col("ip")).alias("ip_number"))
 
 
 @query
@@ -172,6 +171,21 @@ def session_hist_packed(spark, sf_dir):
     return _text_date(sessions.histogram_packed(hist))
 
 
+@query
+def packed_fields(spark, sf_dir):
+    """Counters read back from the packed text, one of them overwritten first."""
+    hist = sessions.session_histogram(sessions.session_metrics(_grain(spark, sf_dir)))
+    texts = sessions.histogram_packed(hist).withColumn("packed", packed.set_field(F.col("packed"), "60", F.lit(-1)))
+    fields = packed.unpack_fields(F.col("packed"))
+    return _text_date(texts.select(
+        "dt", "pl",
+        packed.get_field(F.col("packed"), "session_count").cast("bigint").alias("session_count"),
+        packed.get_field(F.col("packed"), "60").cast("bigint").alias("step_60"),
+        *[F.element_at(fields, F.lit(name)).cast("bigint").alias(column)
+          for column, (name, _, _) in sessions.BUCKETS.items() if column != "step_60"],
+    ))
+
+
 @query
 def stats_user(spark, sf_dir):
     return _text_date(users.stats_user(_grain(spark, sf_dir)))
@@ -277,15 +291,50 @@ def dim_location(spark, sf_dir):
     return dims.assign_ids(placed, dims.LOCATION_KEY)
 
 
-@query
-def fact_stats_device_location(spark, sf_dir):
-    stat = locations.stats_device_location(_grain(spark, sf_dir))
-    dimensions = facts.Dimensions(
+def _dimensions(stat: DataFrame, platforms: bool = True, city: str | None = "city") -> facts.Dimensions:
+    """Ids for the keys of one statistic, starting from empty dimension tables."""
+    spark = stat.sparkSession
+    named = stat.select(F.col("pl").alias("platform_name")).distinct() if platforms else (
+        spark.createDataFrame([], "platform_name string"))
+    if city is None:
+        placed = spark.createDataFrame([], "country string, province string, city string")
+    else:
+        placed = stat.select("country", "province", (F.col(city) if city == "city" else F.lit(city)).alias("city"))
+    return facts.Dimensions(
         dims.assign_ids(dims.date_dimension(stat), dims.DATE_KEY),
-        dims.assign_ids(stat.select(F.col("pl").alias("platform_name")).distinct(), dims.PLATFORM_KEY),
-        dims.assign_ids(stat.select(*dims.LOCATION_KEY).distinct(), dims.LOCATION_KEY),
+        dims.assign_ids(named, dims.PLATFORM_KEY),
+        dims.assign_ids(placed.distinct(), dims.LOCATION_KEY),
     )
-    return facts.device_location_fact(stat, dimensions)
+
+
+@query
+def fact_session_aggr_stat(spark, sf_dir):
+    stat = written_once(sessions.session_aggr_stat(_grain(spark, sf_dir)))
+    return facts.session_aggr_fact(stat, _dimensions(stat, city=None))
+
+
+@query
+def fact_stats_user(spark, sf_dir):
+    stat = written_once(users.stats_user(_grain(spark, sf_dir)))
+    return facts.user_fact(stat, _dimensions(stat, city=None))
+
+
+@query
+def fact_stats_device_location(spark, sf_dir):
+    stat = written_once(locations.stats_device_location(_grain(spark, sf_dir)))
+    return facts.device_location_fact(stat, _dimensions(stat))
+
+
+@query
+def fact_area_top3_product(spark, sf_dir):
+    stat = written_once(products.area_top3_product(derived.weblog(spark, sf_dir)))
+    return facts.top_product_fact(stat, _dimensions(stat, platforms=False, city=ALL))
+
+
+@query
+def fact_stats_location_flow(spark, sf_dir):
+    stat = written_once(locations.location_flow(_grain(spark, sf_dir)))
+    return facts.flow_fact(stat, _dimensions(stat, platforms=False))
 
 
 @query

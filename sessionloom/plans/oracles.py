@@ -115,12 +115,13 @@ PACKED = " || '|' || ".join(
 )
 
 
-def _user_stats(length: str) -> str:
-    return f"""WITH {WEBLOG}, {PLATFORM_COPIES}
+def _user_stats(length: str, name: str = "") -> str:
+    query = f"""
     SELECT dt, pl, count(DISTINCT uid) AS active_users, count(*) FILTER (en = 'e_l') AS new_install_users,
            count(DISTINCT sid) AS session_count,
            count(*) FILTER (en IN ({length})) // count(DISTINCT sid) AS session_length
     FROM copies GROUP BY dt, pl"""
+    return f"WITH {WEBLOG}, {PLATFORM_COPIES}" + (f", {name} AS ({query})" if name else query)
 
 
 DEVICE = f"""
@@ -140,6 +141,24 @@ device AS (
     USING (dt, pl, country, province, city))
 """
 
+FLOW = f"""
+{WEBLOG},
+placed AS (
+    SELECT dt, country, l.province, l.city, uid, sid, en
+    FROM weblog w, LATERAL (SELECT w.province, w.city UNION ALL SELECT w.province, 'all'
+                            UNION ALL SELECT 'all', 'all') AS l(province, city)),
+singles AS (
+    SELECT dt, country, province, city, count(*) FILTER (n = 1) AS "on"
+    FROM (SELECT dt, country, province, city, sid, count(*) AS n FROM placed GROUP BY ALL)
+    GROUP BY ALL),
+flow AS (
+    SELECT p.*, s."on" FROM (
+        SELECT dt, country, province, city, count(*) FILTER (en = 'e_l') AS nu, count(DISTINCT uid) AS uv,
+               count(*) FILTER (en IN ('e_pv', 'e_bp')) AS pv, count(DISTINCT sid) AS sn
+        FROM placed GROUP BY ALL) p
+    JOIN singles s USING (dt, country, province, city))
+"""
+
 TOTALS = """
 area_counts AS (
     SELECT dt, country, province, city, pid AS product_id, count(*) AS browser_count
@@ -151,10 +170,11 @@ totals AS (
 """
 
 
-def _top3(base: str, source: str) -> str:
-    return f"""WITH {base}, {TOTALS.format(source=source)}
+def _top3(base: str, source: str, name: str = "") -> str:
+    query = """
     SELECT dt, country, province, product_id, browser_count, city_infos FROM totals
     QUALIFY row_number() OVER (PARTITION BY dt, country, province ORDER BY browser_count DESC, product_id) <= 3"""
+    return f"WITH {base}, {TOTALS.format(source=source)}" + (f", {name} AS ({query})" if name else query)
 
 
 def _dim_ids(table: str, *key: str) -> str:
@@ -182,6 +202,25 @@ DATE_PARTS = """
     strftime(d, '%Y-%m-%d') AS calendar, 'day' AS type
 """
 
+DATE_KEY = ("year", "season", "month", "week", "day", "calendar", "type")
+
+
+def _ids(stat: str, platform: bool = False, city: str = "") -> str:
+    """Dimension tables over the keys of one statistic."""
+    parts = [
+        f"days AS (SELECT DISTINCT CAST(dt AS DATE) AS d FROM {stat})",
+        f"parts AS (SELECT {DATE_PARTS} FROM days)",
+        f"dates AS ({_dim_ids('parts', *DATE_KEY)})",
+    ]
+    if platform:
+        parts += [f"named AS (SELECT DISTINCT pl AS platform_name FROM {stat})",
+                  f"platforms AS ({_dim_ids('named', 'platform_name')})"]
+    if city:
+        parts += [f"place_keys AS (SELECT DISTINCT country, province, {city} AS city FROM {stat})",
+                  f"places AS ({_dim_ids('place_keys', 'country', 'province', 'city')})"]
+    return ", ".join(parts)
+
+
 ORACLES: dict[str, str] = {
     "ip_rules": f"WITH {RULES} SELECT * FROM rules",
     "parse_log": f"""WITH {PARSED}
@@ -200,7 +239,7 @@ ORACLES: dict[str, str] = {
         SELECT page_id, url_decode(kv[1]) AS name, url_decode(kv[2]) AS val FROM sides
         WHERE len(kv) = 2 AND trim(kv[1]) <> '' AND trim(kv[2]) <> ''
         QUALIFY row_number() OVER (PARTITION BY page_id, url_decode(kv[1]) ORDER BY i DESC) = 1""",
-    "ip_to_long_text": f"WITH {VISITS} SELECT event_id, ip, ip_num AS ip_number FROM addressed",
+    "ip_to_long": f"WITH {VISITS} SELECT event_id, ip, ip_num AS ip_number FROM addressed",
     "ip_region": f"WITH {WEBLOG} SELECT event_id, ip, country, province, city FROM weblog",
     "event_day_scan": f"""WITH {WEBLOG}
         SELECT uid, sid, access_time, en, country, province, city, pl, pid FROM weblog WHERE dt = '2024-01-15'""",
@@ -220,7 +259,7 @@ ORACLES: dict[str, str] = {
     "date_dimension": f"""
         WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
         parts AS (SELECT {DATE_PARTS} FROM days)
-        {_dim_ids('parts', 'year', 'season', 'month', 'week', 'day', 'calendar', 'type')}""",
+        {_dim_ids('parts', *DATE_KEY)}""",
     "valid_date": """
         WITH moved AS (
             SELECT o_orderkey,
@@ -251,20 +290,7 @@ ORACLES: dict[str, str] = {
     "stats_user": _user_stats("'e_bp'"),
     "stats_user_all_views": _user_stats("'e_pv', 'e_bp'"),
     "stats_device_location": f"WITH {DEVICE} SELECT * FROM device",
-    "location_flow": f"""WITH {WEBLOG},
-        placed AS (
-            SELECT dt, country, l.province, l.city, uid, sid, en
-            FROM weblog w, LATERAL (SELECT w.province, w.city UNION ALL SELECT w.province, 'all'
-                                    UNION ALL SELECT 'all', 'all') AS l(province, city)),
-        singles AS (
-            SELECT dt, country, province, city, count(*) FILTER (n = 1) AS "on"
-            FROM (SELECT dt, country, province, city, sid, count(*) AS n FROM placed GROUP BY ALL)
-            GROUP BY ALL)
-        SELECT p.*, s."on" FROM (
-            SELECT dt, country, province, city, count(*) FILTER (en = 'e_l') AS nu, count(DISTINCT uid) AS uv,
-                   count(*) FILTER (en IN ('e_pv', 'e_bp')) AS pv, count(DISTINCT sid) AS sn
-            FROM placed GROUP BY ALL) p
-        JOIN singles s USING (dt, country, province, city)""",
+    "location_flow": f"WITH {FLOW} SELECT * FROM flow",
     "event_cube": f"""WITH {VISITS}
         SELECT dt, CASE WHEN GROUPING(pl) = 1 THEN 'all' ELSE pl END AS pl,
                CASE WHEN GROUPING(en) = 1 THEN 'all' ELSE en END AS en, count(*) AS event_count
@@ -297,18 +323,28 @@ ORACLES: dict[str, str] = {
     "dim_location": f"""WITH {WEBLOG},
         placed AS (SELECT DISTINCT country, province, city FROM weblog)
         {_dim_ids('placed', 'country', 'province', 'city')}""",
-    "fact_stats_device_location": f"""WITH {DEVICE},
-        days AS (SELECT DISTINCT CAST(dt AS DATE) AS d FROM device),
-        parts AS (SELECT {DATE_PARTS} FROM days),
-        dates AS ({_dim_ids('parts', 'year', 'season', 'month', 'week', 'day', 'calendar', 'type')}),
-        named AS (SELECT DISTINCT pl AS platform_name FROM device),
-        platforms AS ({_dim_ids('named', 'platform_name')}),
-        placed_keys AS (SELECT DISTINCT country, province, city FROM device),
-        places AS ({_dim_ids('placed_keys', 'country', 'province', 'city')})
+    "packed_fields": f"WITH {HIST} SELECT * REPLACE (CAST(-1 AS BIGINT) AS step_60) FROM hist",
+    "fact_session_aggr_stat": f"""WITH {HIST}, stat AS (SELECT dt, pl, session_count, {RATIOS} FROM hist),
+        {_ids('stat', platform=True)}
+        SELECT d.id AS date_dimension_id, p.id AS platform_dimension_id, v.* EXCLUDE (dt, pl)
+        FROM stat v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name = v.pl""",
+    "fact_stats_user": f"""{_user_stats("'e_bp'", 'stat')}, {_ids('stat', platform=True)}
+        SELECT d.id AS date_dimension_id, p.id AS platform_dimension_id, v.* EXCLUDE (dt, pl), dt AS created
+        FROM stat v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name = v.pl""",
+    "fact_stats_device_location": f"""WITH {DEVICE}, {_ids('device', platform=True, city='city')}
         SELECT d.id AS date_dimension_id, p.id AS platform_dimension_id, l.id AS location_dimension_id,
                active_users, session_count, bounce_sessions, dt AS created
         FROM device v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name = v.pl
         JOIN places l ON l.country = v.country AND l.province = v.province AND l.city = v.city""",
+    "fact_area_top3_product": f"""{_top3(WEBLOG, 'weblog', 'top')}, {_ids('top', city="'all'")}
+        SELECT d.id AS date_dimension_id, l.id AS location_dimension_id, CAST(product_id AS BIGINT) AS product_id,
+               browser_count AS browser_product_count, city_infos
+        FROM top v JOIN dates d ON d.calendar = v.dt
+        JOIN places l ON l.country = v.country AND l.province = v.province""",
+    "fact_stats_location_flow": f"""WITH {FLOW}, {_ids('flow', city='city')}
+        SELECT d.id AS date_dimension_id, l.id AS location_dimension_id, nu, uv, pv, sn, "on", dt AS created
+        FROM flow v JOIN dates d ON d.calendar = v.dt
+        JOIN places l ON l.country = v.country AND l.province = v.province AND l.city = v.city""",
     "flow_upsert_latest": f"""WITH {VISITS}
         SELECT dt, pl, count(*) FILTER (en = 'e_l') AS nu, count(*) FILTER (en IN ('e_pv', 'e_bp')) AS pv,
                'batch ' || min(access_time // 60000) AS created

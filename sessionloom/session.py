@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "true",
+    # call sites in error messages cost more time than building the plans themselves
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
@@ -46,3 +48,14 @@ def shared_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="sessionloom-")
     spark.conf.set("spark.checkpoint.dir", local)
     return local
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """A result several later steps need, as a table in the shared folder.
+
+    Unlike cached blocks it outlives the executors that computed it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
