@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .dedup import latest_per_key
 
 SESSION_GAP_MS = 2 * 60 * 1000
 
 
+def _slice(width: int) -> Column:
+    """Number of the time slice of an event; rounds down before 1970 too."""
+    ms = F.col("access_time")
+    return F.call_function("div", ms - F.pmod(ms, F.lit(width)), F.lit(width))
+
+
 def _time_slices(events: DataFrame, gap_ms: int, openers: list[str] | None) -> DataFrame:
     """One row per user and time slice no wider than the gap, with its session number.
 
@@ -20,7 +26,7 @@ def _time_slices(events: DataFrame, gap_ms: int, openers: list[str] | None) -> D
     width = min(gap_ms, SESSION_GAP_MS)
     opens = F.lit(True) if openers is None else F.coalesce(F.col("en").isin(openers), F.lit(False))
     slices = (
-        events.groupBy("uid", F.call_function("div", F.col("access_time"), F.lit(width)).alias("slice"))
+        events.groupBy("uid", _slice(width).alias("slice"))
         .agg(
             F.min("access_time").alias("first_ts"),
             F.max("access_time").alias("last_ts"),
@@ -36,7 +42,6 @@ def _time_slices(events: DataFrame, gap_ms: int, openers: list[str] | None) -> D
     return (
         slices.withColumn("starts", starts.cast("bigint"))
         .withColumn("session_no", F.sum("starts").over(by_user.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("slice_width", F.lit(width))
     )
 
 
@@ -47,10 +52,12 @@ def sessionize(events: DataFrame, gap_ms: int = SESSION_GAP_MS, openers: list[st
     it directly (a page load, say); other events carry the old session on. Of
     several events in the same millisecond any opener counts.
     """
-    slices = _time_slices(events, gap_ms, openers)
     width = min(gap_ms, SESSION_GAP_MS)
-    keyed = events.withColumn("slice", F.call_function("div", F.col("access_time"), F.lit(width)))
-    return keyed.join(slices.select("uid", "slice", "session_no"), ["uid", "slice"]).drop("slice")
+    slices = _time_slices(events, gap_ms, openers)
+    numbers = slices.select(F.col("uid").alias("_uid"), F.col("slice").alias("_of"), "session_no")
+    keyed = events.withColumn("_slice", _slice(width))
+    same = F.col("uid").eqNullSafe(F.col("_uid")) & F.col("_slice").eqNullSafe(F.col("_of"))
+    return keyed.join(numbers, same).drop("_slice", "_uid", "_of")
 
 
 def session_summary(events: DataFrame, gap_ms: int = SESSION_GAP_MS, openers: list[str] | None = None) -> DataFrame:

@@ -300,7 +300,7 @@ ORACLES: dict[str, str] = {
     "area_top3_product": _top3(PARSED, "parsed"),
     "topk_per_group": f"""WITH {VISITS},
         per_user AS (SELECT dt, uid, count(*) AS n FROM visits GROUP BY ALL)
-        SELECT dt, uid, n, row_number() OVER (PARTITION BY dt ORDER BY n DESC, uid) AS rank
+        SELECT dt, uid, n, CAST(row_number() OVER (PARTITION BY dt ORDER BY n DESC, uid) AS INTEGER) AS rank
         FROM per_user QUALIFY rank <= 5""",
     "sql_surface": _top3(WEBLOG, "weblog"),
     "sessionize": f"""{_sessions(18 * 60 * 1000, 'true')}

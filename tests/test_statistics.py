@@ -220,6 +220,13 @@ def test_sessions_of_bare_events(spark, gap, openers):
         k: (min(v), max(v), len(v)) for k, v in spans.items()}
 
 
+def test_sessions_around_1970_and_of_missing_users(spark):
+    table = spark.createDataFrame([("u", -900), ("u", 900), ("u", 950), (None, 5)], "uid string, access_time bigint")
+    got = visits.sessionize(table, 1000)
+    assert rows(got, "uid", "access_time", "session_no") == sorted(
+        [("u", -900, 1), ("u", 900, 2), ("u", 950, 2), (None, 5, 1)], key=repr)
+
+
 def test_first_visit_keeps_one_row_per_user_early(spark):
     table = spark.createDataFrame([("u", 5, 2), ("u", 5, 1), ("v", 1, 3), ("u", 9, 0)],
                                   "uid string, access_time bigint, event_id bigint")
