@@ -4,25 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..schemas import ALL
 
 SUMS = ["n_launch", "n_view", "n_bp"]
 
 
-def fan_out(df: DataFrame, dims: Sequence[str], levels: Sequence[Sequence[str]]) -> DataFrame:
-    """One copy of each row per level, dimensions outside the level labelled ``all``.
+def _labels(dims: Sequence[str], level: Sequence[str]) -> Column:
+    """Dimensions of a level, the others as ``all``; NULL stays NULL and never turns into the label."""
+    return F.struct(*[(F.col(c) if c in level else F.lit(ALL)).cast("string").alias(c) for c in dims])
 
-    An ``explode`` keeps the partitioning of its input, which grouping sets do
-    not. A NULL dimension stays NULL and never turns into the label.
-    """
-    label = lambda c, level: (F.col(c) if c in level else F.lit(ALL)).cast("string").alias(c)
-    copies = F.array(*[F.struct(*[label(c, level) for c in dims]) for level in levels])
+
+def fan_out(df: DataFrame, dims: Sequence[str], levels: Sequence[Sequence[str]]) -> DataFrame:
+    """One copy of each row per level, dimensions outside the level labelled ``all``."""
+    copies = F.array(*[_labels(dims, level) for level in levels])
     others = [c for c in df.columns if c not in dims]
-    return df.select(*others, F.explode(copies).alias("_level")).select(
-        *others, *[F.col("_level")[c].alias(c) for c in dims]
-    )
+    return df.select(*others, F.explode(copies).alias("_level")).select(*others, "_level.*")
 
 
 def member_rollup(grain: DataFrame, dims: Sequence[str], levels: Sequence[Sequence[str]]) -> DataFrame:
@@ -34,10 +32,12 @@ def member_rollup(grain: DataFrame, dims: Sequence[str], levels: Sequence[Sequen
     1. combine per place and member, so that a member shared by very many rows
        (for instance a missing session id) becomes a handful of rows;
     2. bring the rows of one member of one day together;
-    3. copy them to every level and combine again. This step needs no shuffle,
-       because the level labels only refine (dt, kind, member). The wide copies
-       stay local, and only step 4's counts per label travel further;
-    4. count members per label.
+    3. a member seen in one place only, as most are, counts once on every level:
+       it is left whole. Members of several places are copied to the levels and
+       combined. This needs no shuffle, because the labels only refine
+       (dt, kind, member);
+    4. count members per label, and add the whole ones to every level at the very
+       end, when only counts per place are left.
 
     NULL users or sessions group like any value and count as one member.
     """
@@ -50,12 +50,25 @@ def member_rollup(grain: DataFrame, dims: Sequence[str], levels: Sequence[Sequen
     members = grain.select("dt", *dims, F.explode(kinds).alias("m")).select("dt", *dims, "m.*")
     sums = [F.sum(c).alias(c) for c in counts]
     placed = members.groupBy("dt", *dims, "kind", "member").agg(*sums)
-    together = placed.repartition("dt", "kind", "member")
-    labelled = fan_out(together, dims, levels).groupBy("dt", "kind", "member", *dims).agg(*sums)
+    one_day = Window.partitionBy("dt", "kind", "member")
+    together = placed.withColumn("whole", F.count("*").over(one_day) == 1)
+
+    every = F.array(*[_labels(dims, level) for level in levels])
+    itself = F.array(_labels(dims, dims))
+    copies = F.explode(F.when(F.col("whole"), itself).otherwise(every)).alias("_level")
+    labelled = together.select("dt", "kind", "member", "whole", *counts, copies).select(
+        "dt", "kind", "member", "whole", *counts, "_level.*"
+    )
+    once = labelled.groupBy("dt", "kind", "member", "whole", *dims).agg(*sums)
     session = F.col("kind") == "s"
-    return labelled.groupBy("dt", *dims).agg(
+    counted = once.groupBy("dt", "whole", *dims).agg(
         F.count_if(F.col("kind") == "u").alias("users"),
         F.count_if(session).alias("sessions"),
         F.count_if(session & (F.col("n") == 1)).alias("bounces"),
         *[F.sum(c).alias(c) for c in SUMS],
     )
+    final = F.explode(F.when(F.col("whole"), every).otherwise(itself)).alias("_level")
+    totals = ["users", "sessions", "bounces", *SUMS]
+    return counted.select("dt", *totals, final).select("dt", *totals, "_level.*").groupBy("dt", *dims).agg(
+        *[F.sum(c).alias(c) for c in totals]
+    )
