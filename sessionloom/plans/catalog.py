@@ -10,6 +10,7 @@ from ..functions import dates, ip, packed, text
 from ..operators import (
     cube, dedup, dims, grain, locations, parse, products, regions, sessions, upsert, users, visits, wordcount,
 )
+from ..operators.rollup import fan_out
 from ..schemas import ALL
 from ..session import pin_utc, written_once
 from ..sources import derived
@@ -281,8 +282,8 @@ def word_count(spark, sf_dir):
 
 @query
 def dim_platform(spark, sf_dir):
-    named = users.stats_user(_grain(spark, sf_dir)).select(F.col("pl").alias("platform_name")).distinct()
-    return dims.assign_ids(named, dims.PLATFORM_KEY)
+    labels = fan_out(derived.visits(spark, sf_dir).select("pl").distinct(), ["pl"], users.LEVELS)
+    return dims.assign_ids(labels.select(F.col("pl").alias("platform_name")).distinct(), dims.PLATFORM_KEY)
 
 
 @query
