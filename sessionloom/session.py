@@ -18,6 +18,9 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# temporary folders of local applications that name none
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "sessionloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the engine's defaults; keyword settings use ``__`` for dots."""
@@ -45,9 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="sessionloom-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="sessionloom-")
+    return _LOCAL_DIRS[app]
 
 
 def written_once(df: DataFrame) -> DataFrame:
