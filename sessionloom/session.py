@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
@@ -54,6 +55,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Have the driver remove a folder of intermediate data when it ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    store.deleteOnExit(target)
+
+
 def written_once(df: DataFrame) -> DataFrame:
     """A result several later steps need, as a table in the shared folder.
 
@@ -61,5 +70,6 @@ def written_once(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/written-{uuid.uuid4().hex}"
+    delete_on_exit(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,7 +6,8 @@ import math
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from sessionloom.plans.catalog import QUERIES
+from sessionloom.plans.oracles import ORACLES
 
 from conftest import plan_of
 
@@ -35,10 +36,10 @@ def table_of(columns, data):
     return sorted((tuple(plain(r[i]) for i in order) for r in data), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, sf_dir, duck, name):
-    df = contract.queries()[name](spark, sf_dir)
-    result = duck.execute(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, sf_dir)
+    result = duck.execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     assert sorted(columns) == sorted(df.columns)
     expected = table_of(columns, result.fetchall())
@@ -49,4 +50,4 @@ def test_query_equals_oracle(spark, sf_dir, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
