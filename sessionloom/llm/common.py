@@ -44,18 +44,23 @@ def small_enough(stored: DataFrame, bytes_per_row: int | None = None) -> bool:
     return stored.limit(most + 1).count() <= most
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
+def lookup_join(rows: DataFrame, lookup: DataFrame, keys: str | list[str], how: str = "left",
                 bytes_per_row: int | None = None) -> DataFrame:
     """``rows`` with the columns of a stored ``lookup`` that has one row per non-null key.
 
     A lookup counted under the bound is broadcast. Beyond it, both sides are salted so that a hot key
     spreads over many tasks; the result is the same.
     """
+    keys = [keys] if isinstance(keys, str) else keys
     if small_enough(lookup, bytes_per_row):
-        return rows.join(F.broadcast(lookup), key, how)
+        return rows.join(F.broadcast(lookup), keys, how)
     salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
-    return dealt.join(salted, [key, "_salt"], how).drop("_salt")
+    return dealt.join(salted, [*keys, "_salt"], how).drop("_salt")
+
+
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def let(value: Column, body) -> Column:

@@ -1,3 +1,55 @@
 """DuckDB SQL of the training-text queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+# ten-word windows compared as text, without hashes
+ORACLES["op6_decontamination"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS win
+       FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM bl)),
+dw AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+       FROM (SELECT doc_id, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS i
+             FROM d, (SELECT DISTINCT k FROM bl))),
+hits AS (SELECT DISTINCT doc_id, item_id, dw.k, i FROM dw JOIN bw ON bw.k = dw.k AND bw.win = dw.win),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS t FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+# the same places on the hash line, taken in their order
+ORACLES["op1_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+                  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS place
+           FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight,
+             2.0 * CAST(source_size AS DOUBLE) AS cap FROM s),
+l AS (SELECT *, (1.5 * CAST(sum(source_size) OVER () AS DOUBLE)
+                 - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+             / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
+t AS (SELECT source, source_size, least(cap, weight * (SELECT level FROM l WHERE level * weight <= cap
+                                                       ORDER BY cap / weight LIMIT 1)) AS target FROM l),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS rounds FROM t),
+v AS (SELECT source, place, sum(size) AS size FROM d GROUP BY source, place),
+c AS (SELECT v.source, v.place, v.size, sum(v.size) OVER (PARTITION BY v.source ORDER BY v.place) AS upto,
+             p.target - p.rounds * p.source_size AS budget
+      FROM v JOIN p ON v.source IS NOT DISTINCT FROM p.source),
+k AS (SELECT source, place, upto <= budget
+             OR (upto - size <= budget AND upto - budget <= budget - (upto - size)) AS more FROM c)
+SELECT d.doc_id, d.size, p.source_size, p.target,
+       CAST(d.size * (p.rounds + CASE WHEN k.more THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
+JOIN k ON k.source IS NOT DISTINCT FROM d.source AND k.place = d.place
+"""

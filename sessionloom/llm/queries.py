@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin_utc
-from . import quality_rules, token_counts, warc
+from . import mixing, quality_rules, token_counts, warc, winnowing
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_mixing(spark, sf_dir):
+    """What a mix of weighted sources takes of every document."""
+    sized = mixing.sized_rows(table(spark, sf_dir, "documents"))
+    rows = mixing.with_taken(sized, mixing.mix_plan(sized))
+    return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 @query
 def op4_warc(spark, sf_dir):
     """Every page as a WARC record, read back from the archives."""
@@ -47,3 +55,11 @@ def op7_token_counts(spark, sf_dir):
     counted = docs.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), token_counts.piece_count(
         spark, public_tokenizers.path(TOKENIZER), F.col("text")).alias("n_tokens"))
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    """Words of every document inside passages of ten words that a benchmark item holds as well."""
+    found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(
+        F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"), "contaminated")
