@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin_utc
-from . import mixing, quality_rules, token_counts, warc, winnowing
+from . import mixing, quality_rules, simhash, token_counts, warc, winnowing
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,11 @@ def op6_decontamination(spark, sf_dir):
     found = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(
         F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op8_simhash(spark, sf_dir):
+    """Fingerprint and near-duplicate class of every document."""
+    rows = simhash.clustered(table(spark, sf_dir, "documents"))
+    return rows.select(F.col("key").alias("doc_id"), simhash.hex_mark(F.col("mark")).alias("fingerprint"),
+                       F.col("component").alias("component_id"))
