@@ -1,5 +1,7 @@
 """DuckDB SQL of the training-text queries that SQL can express."""
 
+from .licenses import NOTICES, THRESHOLD
+
 ORACLES: dict[str, str] = {}
 
 # ten-word windows compared as text, without hashes
@@ -53,3 +55,39 @@ SELECT d.doc_id, d.size, p.source_size, p.target,
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 JOIN k ON k.source IS NOT DISTINCT FROM d.source AND k.place = d.place
 """
+
+_NOTICE_ROWS = ", ".join("('{}', '{}')".format(name, text.replace("'", "''"))
+                         for name in NOTICES for text in NOTICES[name])
+# every line and notice within the size bounds, without the look-up that drops lines before
+ORACLES["op9_licenses"] = rf"""
+WITH t AS (SELECT license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS tb
+           FROM (SELECT license, regexp_extract_all(lower(line), '[\p{{L}}\p{{N}}]+') AS w
+                 FROM (VALUES {_NOTICE_ROWS}) v(license, line))),
+l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines, coalesce(text, '') AS text FROM documents),
+u AS (SELECT doc_id, u, regexp_extract_all(lower(line), '[\p{{L}}\p{{N}}]+') AS w
+      FROM (SELECT doc_id, unnest(range(len(units))) AS u, unnest(units) AS line
+            FROM (SELECT doc_id, CASE WHEN len(lines) > 1 THEN list_append(lines, text) ELSE lines END AS units FROM l))),
+g AS (SELECT doc_id, u, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS ub FROM u),
+m AS (SELECT doc_id, u, license, 2.0 * len(list_intersect(ub, tb)) / (len(ub) + len(tb)) AS dice
+      FROM g JOIN t ON {THRESHOLD} * len(tb) <= {2 - THRESHOLD} * len(ub) AND {THRESHOLD} * len(ub) <= {2 - THRESHOLD} * len(tb)),
+b AS (SELECT doc_id, u, license, dice FROM m WHERE dice >= {THRESHOLD}
+      QUALIFY row_number() OVER (PARTITION BY doc_id, u ORDER BY dice DESC, license) = 1),
+d AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+             max(dice) AS best_dice, arg_min(license, (-dice, license)) AS best_license FROM b GROUP BY doc_id)
+SELECT l.doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses, best_license,
+       CAST(best_dice AS DOUBLE) AS best_dice
+FROM l LEFT JOIN d USING (doc_id)
+"""
+
+_DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ORACLES["op4_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+o AS (SELECT hex, max(page_id) AS owner FROM p GROUP BY hex)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('{_DIGITS}',
+           1 + ((CAST('0x' || substr(hex, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31), 1)), '')
+           AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM owner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM owner THEN owner END AS refers_to, true AS intact
+FROM p JOIN o USING (hex)
+"""

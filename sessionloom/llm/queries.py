@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin_utc
-from . import mixing, quality_rules, simhash, token_counts, warc, winnowing
+from . import licenses, mixing, quality_rules, simhash, token_counts, warc, winnowing
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,10 @@ def op8_simhash(spark, sf_dir):
     rows = simhash.clustered(table(spark, sf_dir, "documents"))
     return rows.select(F.col("key").alias("doc_id"), simhash.hex_mark(F.col("mark")).alias("fingerprint"),
                        F.col("component").alias("component_id"))
+
+
+@query
+def op9_licenses(spark, sf_dir):
+    """Licence notices in every document."""
+    found = licenses.scanned(table(spark, sf_dir, "documents"), "doc_id")
+    return found.select("doc_id", "n_matches", "licenses", "best_license", "best_dice")
