@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin_utc
-from . import licenses, mixing, quality_rules, simhash, token_counts, warc, winnowing
+from . import knn_quality, licenses, mixing, quality_rules, simhash, token_counts, toxicity, warc, winnowing
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,15 @@ def op9_licenses(spark, sf_dir):
     """Licence notices in every document."""
     found = licenses.scanned(table(spark, sf_dir, "documents"), "doc_id")
     return found.select("doc_id", "n_matches", "licenses", "best_license", "best_dice")
+
+
+@query
+def op10_quality(spark, sf_dir):
+    """Quality of every document by its labelled neighbours."""
+    return knn_quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_toxicity(spark, sf_dir):
+    """Toxicity of every document by its worst sentence."""
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
