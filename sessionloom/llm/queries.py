@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import pin_utc
-from . import knn_quality, licenses, mixing, quality_rules, simhash, token_counts, toxicity, warc, winnowing
+from . import knn_quality, licenses, maxent, mixing, quality_rules, simhash, token_counts, toxicity, warc, winnowing
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,9 @@ def op10_quality(spark, sf_dir):
 def op3_toxicity(spark, sf_dir):
     """Toxicity of every document by its worst sentence."""
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_language_model(spark, sf_dir):
+    """Probability of every document under a maximum-entropy model and under unigrams."""
+    return maxent.scored(table(spark, sf_dir, "documents"))
