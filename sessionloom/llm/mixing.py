@@ -124,4 +124,4 @@ def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     edges = plan.select(F.col("source_key").alias("_key"), F.col("rounds").alias("_rounds"), F.col("edge").alias("_edge"))
     taken = F.col("_rounds") + (F.col("_place") < F.col("_edge")).cast("long")
     return lookup_join(rows, edges, "_key", "inner", 256).filter(taken > 0).withColumn(
-        "epoch", F.explode(F.sequence(F.lit(1).cast("long"), taken)).cast("int")).select(*docs.columns, "epoch")
+        "epoch", F.explode(F.sequence(F.lit(1), taken.cast("int")))).select(*docs.columns, "epoch")

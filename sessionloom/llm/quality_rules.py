@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.barrier import computed_once
 from .common import let, space_words, window_hashes
 
 WINDOW = 5
@@ -94,14 +95,14 @@ def judged(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
         "*", F.filter("_lines", lambda x: ~line_fails(x)).alias("_good"),
         F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_worded"))
     chars = lambda lines: F.char_length(F.array_join(lines, ""))
-    rows = rows.select(
-        *keep, long(F.size("_words")).alias("n_words"),
-        long(F.char_length(F.array_join("_words", ""))).alias("word_chars"),
-        long(F.octet_length("_text") - F.octet_length(F.regexp_replace("_text", SYMBOLS, ""))).alias("n_symbols"),
-        long(F.size("_worded") - F.size(F.array_distinct("_worded"))).alias("n_dup_lines"),
-        long(repeated_words(F.col("_words"))).alias("n_repeat_words"),
-        F.coalesce(F.try_divide(chars("_lines") - chars("_good"), chars("_lines")), F.lit(0.0)).alias("lost"),
-        F.array_join("_good", "\n").alias("clean_text"))
+    # a filter on the verdict must not write the counts out again and again
+    rows = computed_once(
+        rows, n_words=long(F.size("_words")), word_chars=long(F.char_length(F.array_join("_words", ""))),
+        n_symbols=long(F.octet_length("_text") - F.octet_length(F.regexp_replace("_text", SYMBOLS, ""))),
+        n_dup_lines=long(F.size("_worded") - F.size(F.array_distinct("_worded"))),
+        n_repeat_words=long(repeated_words(F.col("_words"))),
+        lost=F.coalesce(F.try_divide(chars("_lines") - chars("_good"), chars("_lines")), F.lit(0.0)),
+        clean_text=F.array_join("_good", "\n")).drop("_text", "_words", "_lines", "_good", "_worded")
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed).withColumn(

@@ -207,5 +207,20 @@ def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", distance
     return rows.select("key", "mark", F.when(F.col("_shared"), F.col("component")).otherwise(F.col("key")).alias("component"))
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+    """One row of ``docs`` for each near-duplicate class: that with the smallest key, with all its columns.
+
+    A key stands for a document: rows that share one count as one, of which one row stays, and all of them go if one is
+    a copy of a smaller key. A class in which every key is missing keeps one row.
+    """
+    classes = clustered(docs, key, text, distance)
+    keys = F.col("key").eqNullSafe(F.col("component"))
+    gone = written_once(classes.filter(~keys).select("key").distinct())
+    left = docs.join(gone, docs[key].eqNullSafe(gone["key"]), "left_anti")
+    # only a table that repeats a key needs a look for rows that share it
+    repeated = classes.groupBy("key").count().filter("count > 1").limit(1).count()
+    return left.dropDuplicates([key]) if repeated else left
+
+
 def hex_mark(mark: Column) -> Column:
     return F.lower(F.lpad(F.hex(mark), 16, "0"))

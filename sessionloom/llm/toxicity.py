@@ -274,14 +274,8 @@ def fit(sample: DataFrame) -> Model:
     return Model(names, whiten @ w, b, max(slope, 1e-3), offset, 0.0)
 
 
-def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-           per_class: int = PER_CLASS, threshold: float = 0.5) -> DataFrame:
-    """Columns ``key``, held_out, score (0 to 1, higher: label 1 likelier) and predicted of every row of ``docs``.
-
-    A missing text is an empty one: no sentence, so it has the lowest score there is. Rows are scored one by one, so
-    repeated rows have equal scores; further columns are not looked at. An empty table gives no rows; without labels of
-    both classes every score is the share of label 1 among those there are (0 without any).
-    """
+def _scores(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, per_class: int):
+    """A column function that scores texts by the model learnt from ``docs`` and ``labels``."""
     model = docs.sparkSession.sparkContext.broadcast(fit(labelled_sample(docs, labels, label, per_class, key, text)))
 
     @F.arrow_udf("double")
@@ -291,6 +285,25 @@ def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
             found = reader.texts(texts.to_pylist()) if reader else ([] for _ in texts)
             yield pa.array([round(model.value.score(f), 6) for f in found], pa.float64())
 
+    return worst
+
+
+def kept(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
+         per_class: int = PER_CLASS, threshold: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` that score below the threshold, with all their columns."""
+    worst = _scores(docs, labels, key, text, label, per_class)
+    return docs.filter(worst(F.coalesce(F.col(text), F.lit(""))) < threshold)
+
+
+def scored(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
+           per_class: int = PER_CLASS, threshold: float = 0.5) -> DataFrame:
+    """Columns ``key``, held_out, score (0 to 1, higher: label 1 likelier) and predicted of every row of ``docs``.
+
+    A missing text is an empty one: no sentence, so it has the lowest score there is. Rows are scored one by one, so
+    repeated rows have equal scores; further columns are not looked at. An empty table gives no rows; without labels of
+    both classes every score is the share of label 1 among those there are (0 without any).
+    """
+    worst = _scores(docs, labels, key, text, label, per_class)
     rows = docs.select(F.col(key), held_out(F.col(key)).alias("held_out"),
                        worst(F.coalesce(F.col(text), F.lit(""))).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -93,7 +93,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
                   window: int = WINDOW) -> DataFrame:
     """What every row of ``docs`` shares with the benchmark.
 
-    Columns: ``doc``, n_words, n_hit (words within shared spans), n_items, items (sorted texts of ids), hits
+    Columns: ``doc``, _key (hash of the text), n_words, n_hit (words within shared spans), n_items, items (sorted texts of ids), hits
     (shared spans as first word and width), contaminated. A missing text has no words; an empty benchmark hits
     nothing. Rows that repeat an id, with the same or another text, each get a row of their own.
     Hashes are of 64 bits for a fingerprint and 128 bits for a span.
@@ -137,7 +137,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
             (acc["total"] + F.greatest(x["start"] + x["width"] - F.greatest(acc["end"], x["start"]), F.lit(0))).alias("total"),
             F.greatest(acc["end"], x["start"] + x["width"]).alias("end")))["total"]
     return merged.select(
-        F.col("_doc").alias(doc), F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
+        F.col("_doc").alias(doc), "_key", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), "items", "hits",
         (F.size("hits") > 0).alias("contaminated"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_copy")
     ).drop("_copy")
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text",
+                   window: int = WINDOW) -> DataFrame:
+    """Rows of ``docs`` that share no span with the benchmark, with all their columns.
+
+    Rows are told apart by id and text, so of two rows with one id only the contaminated one goes.
+    """
+    found = contamination(docs, benchmark, doc, text, window).filter("contaminated")
+    return docs.join(found.select(F.col(doc).alias("_doc"), F.col("_key")).distinct(),
+                     F.col(doc).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_key")), "left_anti")
