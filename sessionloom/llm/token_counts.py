@@ -49,11 +49,13 @@ class PieceCounter:
             raise ValueError("the model has pieces across words: texts cannot be split at blanks")
         if len(self.model.encode("a  b")) <= len(self.model.encode("a b")):
             raise ValueError("the model drops repeated blanks: texts cannot be split at blanks")
-        self.seen: dict[str, int] = {}
+        # a last blank by itself, which the model would not see in an empty text
+        self.last = len(self.model.encode("a ")) - len(self.model.encode("a"))
+        self.seen: dict[str, int] = {" ": self.last, BLANK: self.last}
 
     def _sums(self, group: list[list[str]]) -> list[int]:
         if len(self.seen) > MEMORY_UNITS:
-            self.seen.clear()
+            self.seen = {" ": self.last, BLANK: self.last}
         new = list({u for units in group for u in units}.difference(self.seen))
         self.seen.update(zip(new, map(len, self.model.encode([u[1:] for u in new], num_threads=1))))
         sums = [sum(map(self.seen.__getitem__, units)) for units in group]
