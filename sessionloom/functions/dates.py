@@ -12,6 +12,15 @@ def event_date(epoch_ms: Column) -> Column:
     return F.to_date(F.timestamp_millis(epoch_ms))
 
 
+# last millisecond of the year 9999: later numbers are no calendar time
+LAST_MS = 253_402_300_799_999
+
+
+def is_calendar_ms(epoch_ms: Column) -> Column:
+    """Whether a number of epoch milliseconds is a time from 1970 to 9999; NULL is not."""
+    return F.coalesce(epoch_ms.between(0, LAST_MS), F.lit(False))
+
+
 def format_epoch(epoch_ms: Column, pattern: str) -> Column:
     return F.date_format(F.timestamp_millis(epoch_ms), pattern)
 

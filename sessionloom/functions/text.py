@@ -30,14 +30,18 @@ def query_text(request: Column) -> Column:
     return F.regexp_extract(request, r"\A[^?]*\?([^?]+)\?*\z", 1)
 
 
-def query_keys(text: Column) -> Column:
-    """Left sides of the well-formed pairs of a query text, in order, still encoded."""
-    return F.regexp_extract_all(text, F.lit(PAIR), F.lit(1))
+def query_pairs(text: Column) -> Column:
+    """The well-formed pairs of a query text, in order, still encoded; one search for both sides."""
+    return F.regexp_extract_all(text, F.lit(PAIR), F.lit(0))
 
 
-def query_values(text: Column) -> Column:
-    """Right sides, aligned with ``query_keys``."""
-    return F.regexp_extract_all(text, F.lit(PAIR), F.lit(2))
+def pair_keys(pairs: Column) -> Column:
+    return F.transform(pairs, lambda p: F.substring_index(p, "=", 1))
+
+
+def pair_values(pairs: Column) -> Column:
+    """Right sides, without the equals signs at the end."""
+    return F.transform(pairs, lambda p: F.substring_index(F.rtrim(p, F.lit("=")), "=", -1))
 
 
 def is_encoded(text: Column) -> Column:

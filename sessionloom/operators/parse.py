@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.barrier import computed_once
+from ..functions.dates import is_calendar_ms
 from ..functions.ip import ip_to_long
 from ..functions.text import (
-    decode_all, has_null, is_encoded, last_value_map, not_blank, query_keys, query_text, query_values, split_trimmed,
+    decode_all, has_null, is_encoded, last_value_map, not_blank, pair_keys, pair_values, query_pairs,
+    query_text, split_trimmed,
 )
 from ..schemas import PARAM_COLUMNS, REGION_COLUMNS
 
+# how far a request may put its event beyond the time the server logged
+AHEAD_MS = 24 * 3600 * 1000
+
 
 def with_pairs(df: DataFrame, query: str = "query") -> DataFrame:
     """Add the decoded ``keys`` and ``vals`` of a query text, and ``bad_escape``."""
     encoded = is_encoded(F.col(query))
-    decoded = df.select(
-        "*",
-        decode_all(query_keys(F.col(query)), encoded).alias("keys"),
-        decode_all(query_values(F.col(query)), encoded).alias("vals"),
+    paired = df.select("*", query_pairs(F.col(query)).alias("_pairs"))
+    decoded = paired.select(
+        *df.columns,
+        decode_all(pair_keys(F.col("_pairs")), encoded).alias("keys"),
+        decode_all(pair_values(F.col("_pairs")), encoded).alias("vals"),
     )
     bad = encoded & (has_null(F.col("keys")) | has_null(F.col("vals")))
     return computed_once(decoded, keys=F.col("keys"), vals=F.col("vals"), bad_escape=bad)
@@ -30,7 +36,8 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     A line is usable if it is not blank and has four ``|`` fields. Result: the
     event columns (regions only where a parameter set them), ``line_ip_num`` for
     the region lookup, ``params`` and ``reason``: NULL for a good event, else why
-    the event cannot be stored.
+    the event cannot be stored. A time outside 1970 to 9999 is ``bad_time``; one that a request sets
+    more than ``AHEAD_MS`` beyond the logged time is ``ahead_time``, as it would close every open day.
     """
     extra = [c for c in lines.columns if c != value]
     fields = (
@@ -53,6 +60,8 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         *extra,
         F.coalesce(param("ip"), "line_ip").alias("ip"),
         F.coalesce(param("access_time"), "line_time").try_cast("bigint").alias("access_time"),
+        F.col("line_time").try_cast("bigint").alias("logged"),
+        param("access_time").isNotNull().alias("own_time"),
         *[param(c).alias(c) for c in REGION_COLUMNS + PARAM_COLUMNS],
         "line_ip_num",
         "params",
@@ -61,11 +70,13 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     reason = (
         F.when(F.col("bad_escape"), "bad_escape")
         .when(F.col("line_ip_num").isNull(), "bad_ip")
-        .when(F.col("access_time").isNull(), "bad_time")
+        .when(~is_calendar_ms(F.col("access_time")), "bad_time")
+        .when(F.col("own_time") & ~is_calendar_ms(F.col("logged")), "bad_time")
+        .when(F.col("own_time") & (F.col("access_time") > F.col("logged") + AHEAD_MS), "ahead_time")
         .when(F.col("uid").isNull(), "no_uid")
         .when(F.col("en").isNull(), "no_en")
     )
-    return events.withColumn("reason", reason).drop("bad_escape")
+    return events.withColumn("reason", reason).drop("bad_escape", "logged", "own_time")
 
 
 def good_events(parsed: DataFrame) -> DataFrame:

@@ -86,12 +86,16 @@ def test_bad_lines_carry_their_reason(spark):
         f"1.x.0.1|{T}|h|/l?{GOOD}",
         f" 1.0.0.1|{T}|h|/l?{GOOD}",
         f"1.0.0.1|noon|h|/l?{GOOD}",
+        f"1.0.0.1|9223372036854775807|h|/l?{GOOD}",
+        f"1.0.0.1|-1|h|/l?{GOOD}",
+        f"1.0.0.1|{T}|h|/l?{GOOD}&access_time={int(T) + 86_400_001}",
         f"1.0.0.1|{T}|h|/l?en=e_pv&sid=s1",
         f"1.0.0.1|{T}|h|/l?uid=u1&sid=s1",
         f"1.0.0.1|{T}|h|/l?en=e_pv&uid=u1",
     )
     reasons = [r[0] for r in rows(bad_records(parsed), "reason")]
-    assert reasons == ["bad_escape", "bad_escape", "bad_ip", "bad_ip", "bad_time", "no_en", "no_uid"]
+    assert reasons == ["ahead_time", "bad_escape", "bad_escape", "bad_ip", "bad_ip", "bad_time", "bad_time", "bad_time", "no_en",
+                       "no_uid"]
     kept = rows(good_events(parsed), "uid", "sid", "en")
     assert kept == [("u1", None, "e_pv")]
 
