@@ -11,13 +11,20 @@ from ..schemas import ALL
 SUMS = ["n_launch", "n_view", "n_bp"]
 
 
+# which dimensions a row is rolled up over, as bits; part of every key, so that a data value that reads
+# like the label of a total stays a group of its own
+LEVEL = "level"
+
+
 def _labels(dims: Sequence[str], level: Sequence[str]) -> Column:
     """Dimensions of a level, the others as ``all``; NULL stays NULL and never turns into the label."""
-    return F.struct(*[(F.col(c) if c in level else F.lit(ALL)).cast("string").alias(c) for c in dims])
+    bits = sum(1 << k for k, c in enumerate(reversed(dims)) if c not in level)
+    return F.struct(*[(F.col(c) if c in level else F.lit(ALL)).cast("string").alias(c) for c in dims],
+                    F.lit(bits).alias(LEVEL))
 
 
 def fan_out(df: DataFrame, dims: Sequence[str], levels: Sequence[Sequence[str]]) -> DataFrame:
-    """One copy of each row per level, dimensions outside the level labelled ``all``."""
+    """One copy of each row per level, dimensions outside the level labelled ``all``, with ``level``."""
     copies = F.array(*[_labels(dims, level) for level in levels])
     others = [c for c in df.columns if c not in dims]
     return df.select(*others, F.explode(copies).alias("_level")).select(*others, "_level.*")
@@ -59,16 +66,17 @@ def member_rollup(grain: DataFrame, dims: Sequence[str], levels: Sequence[Sequen
     labelled = together.select("dt", "kind", "member", "whole", *counts, copies).select(
         "dt", "kind", "member", "whole", *counts, "_level.*"
     )
-    once = labelled.groupBy("dt", "kind", "member", "whole", *dims).agg(*sums)
+    once = labelled.groupBy("dt", "kind", "member", "whole", *dims, LEVEL).agg(*sums)
     session = F.col("kind") == "s"
-    counted = once.groupBy("dt", "whole", *dims).agg(
+    counted = once.groupBy("dt", "whole", *dims, LEVEL).agg(
         F.count_if(F.col("kind") == "u").alias("users"),
         F.count_if(session).alias("sessions"),
         F.count_if(session & (F.col("n") == 1)).alias("bounces"),
         *[F.sum(c).alias(c) for c in SUMS],
     )
-    final = F.explode(F.when(F.col("whole"), every).otherwise(itself)).alias("_level")
+    kept = F.array(F.struct(*dims, LEVEL))
+    final = F.explode(F.when(F.col("whole"), every).otherwise(kept)).alias("_level")
     totals = ["users", "sessions", "bounces", *SUMS]
-    return counted.select("dt", *totals, final).select("dt", *totals, "_level.*").groupBy("dt", *dims).agg(
+    return counted.select("dt", *totals, final).select("dt", *totals, "_level.*").groupBy("dt", *dims, LEVEL).agg(
         *[F.sum(c).alias(c) for c in totals]
     )

@@ -41,7 +41,9 @@ def session_metrics(grain: DataFrame) -> DataFrame:
             F.call_function("div", F.max("max_ts") - F.min("min_ts"), F.lit(1000)).alias("length_s"),
             F.sum("n_view").alias("steps"),
         )
-        .select("dt", F.when(F.col("rolled") == 1, ALL).otherwise(F.col("pl")).alias("pl"), "sid", "length_s", "steps")
+        # a total and a platform that is called like its label stay apart by ``rolled``
+        .select("dt", F.when(F.col("rolled") == 1, ALL).otherwise(F.col("pl")).alias("pl"), "rolled", "sid",
+                "length_s", "steps")
     )
 
 
@@ -52,7 +54,7 @@ def _within(value: str, low: int, high: int | None):
 
 def session_histogram(metrics: DataFrame) -> DataFrame:
     """Sessions per length and depth bucket; a session without views is in no depth bucket."""
-    return metrics.groupBy("dt", "pl").agg(
+    return metrics.groupBy("dt", "pl", "rolled").agg(
         F.count("*").alias("session_count"),
         *[F.count_if(_within("length_s", lo, hi)).alias(c) for c, (_, lo, hi) in TIME_BUCKETS.items()],
         *[F.count_if(_within("steps", lo, hi)).alias(c) for c, (_, lo, hi) in STEP_BUCKETS.items()],

@@ -153,12 +153,12 @@ def session_grain(spark, sf_dir):
 
 @query
 def session_metrics(spark, sf_dir):
-    return _text_date(sessions.session_metrics(_grain(spark, sf_dir)))
+    return _text_date(sessions.session_metrics(_grain(spark, sf_dir))).drop("rolled")
 
 
 @query
 def session_hist(spark, sf_dir):
-    return _text_date(sessions.session_histogram(sessions.session_metrics(_grain(spark, sf_dir))))
+    return _text_date(sessions.session_histogram(sessions.session_metrics(_grain(spark, sf_dir)))).drop("rolled")
 
 
 @query

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dims import LOCATION_KEY
 from ..operators.locations import FLOW_LEVELS
-from ..operators.rollup import fan_out
+from ..operators.rollup import LEVEL, fan_out
 from ..operators.upsert import latest_flow
 from ..plans import facts
 from ..plans.etl import located_events
@@ -24,11 +24,12 @@ from ..schemas import LAUNCH, VIEW_EVENTS, table
 from ..sinks.batchlog import append_batch, compact, read_log
 from .start import FLOW_EVERY, start_batches
 
-WATERMARK = "7 days"
 COMPACT_EVERY = 200
-LABEL = ["dt", *LOCATION_KEY]
+# folder of the live job's own dimension tables, which no other job writes
+LIVE = "live"
+LABEL = ["dt", *LOCATION_KEY, LEVEL]
 FLOW_LOG = table(
-    dt="date", country="string", province="string", city="string", nu="bigint", pv="bigint",
+    dt="date", country="string", province="string", city="string", level="int", nu="bigint", pv="bigint",
     new_users="bigint", new_sessions="bigint", bounce_change="bigint",
 )
 FACT_LOG = table(
@@ -38,13 +39,16 @@ FACT_LOG = table(
 FACT_KEY = ["date_dimension_id", "location_dimension_id"]
 
 
-def flow_state(events: DataFrame, watermark: str = WATERMARK, day_starts_at: str = "0 hours") -> DataFrame:
+def flow_state(events: DataFrame, watermark: str | None = None, day_starts_at: str = "0 hours") -> DataFrame:
     """Streaming aggregate in update mode: per day, place and member the totals so far.
 
     Each event leaves a mark on its user, its session and the place itself. Marks
     carry the time stamp of their micro-batch, which Spark fixes per batch and
     repeats on a replay; ``batch_ts`` is that stamp for the current batch.
 
+    Without a ``watermark`` every day stays open and no row is too late, at the price of state for all days. With one,
+    days close that long after the newest event; rows for closed days are missing here, but not in the event store.
+
     ``day_starts_at`` shifts the daily windows, which Spark aligns to UTC: for
     UTC+8 it is ``16 hours``.
     """
@@ -60,11 +64,13 @@ def flow_state(events: DataFrame, watermark: str = WATERMARK, day_starts_at: str
         mark("user", F.col("uid"), none, none),
         mark("session", F.col("sid"), none, none),
     )
-    timed = events.withColumn("ts", F.timestamp_millis("access_time")).withWatermark("ts", watermark)
+    timed = events.withColumn("ts", F.timestamp_millis("access_time"))
+    if watermark:
+        timed = timed.withWatermark("ts", watermark)
     marked = timed.select("ts", *LOCATION_KEY, F.explode(marks).alias("m")).select("ts", *LOCATION_KEY, "m.*")
     labelled = fan_out(marked.withColumn("stamp", stamp), LOCATION_KEY, FLOW_LEVELS)
     totals = labelled.groupBy(
-        F.window("ts", "1 day", startTime=day_starts_at).alias("day"), *LOCATION_KEY, "kind", "member"
+        F.window("ts", "1 day", startTime=day_starts_at).alias("day"), *LOCATION_KEY, LEVEL, "kind", "member"
     ).agg(
         F.count("*").alias("n"),
         F.sum("launches").alias("launches"),
@@ -74,7 +80,7 @@ def flow_state(events: DataFrame, watermark: str = WATERMARK, day_starts_at: str
         F.sum(F.col("stamp").cast("decimal(20,0)")).alias("stamp_sum"),
     )
     return totals.select(
-        F.to_date("day.start").alias("dt"), *LOCATION_KEY, "kind", "member", "n", "launches", "views",
+        F.to_date("day.start").alias("dt"), *LOCATION_KEY, LEVEL, "kind", "member", "n", "launches", "views",
         "first_ts", "last_ts", "stamp_sum", stamp.alias("batch_ts"),
     )
 
@@ -148,7 +154,7 @@ def _upsert_facts(spark: SparkSession, path: str, warehouse: str, batch_id: int)
     touched = spark.read.schema(FLOW_LOG).parquet(f"{path}/deltas/batch_id={batch_id}").select(*LABEL)
     log = read_log(spark, path, FLOW_LOG).filter(F.col("batch_id") <= batch_id)
     rows = _named(add_up(log.join(touched, LABEL, "left_semi")))
-    dims = facts.refresh_dimensions(spark, warehouse, touched, None, touched)
+    dims = facts.refresh_dimensions(spark, f"{warehouse}/{LIVE}", touched, None, touched)
     append_batch(facts.flow_fact(rows, dims), f"{warehouse}/stats_location_flow", batch_id)
 
 
@@ -158,7 +164,7 @@ def current_flow_facts(spark: SparkSession, warehouse: str) -> DataFrame:
 
 
 def start_flow(lines: DataFrame, rules: DataFrame, path: str, checkpoint: str, warehouse: str | None = None,
-               every: str | None = FLOW_EVERY, watermark: str = WATERMARK, day_starts_at: str = "0 hours",
+               every: str | None = FLOW_EVERY, watermark: str | None = None, day_starts_at: str = "0 hours",
                compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Log lines of any stream to the live flow.
 
