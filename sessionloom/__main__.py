@@ -1,4 +1,4 @@
-"""Command line: ``python -m sessionloom etl|daily|flow …`` (or through spark-submit)."""
+"""Command line: ``python -m sessionloom etl|daily|flow|events|bad-records|landing …`` (or through spark-submit)."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from .plans.etl import run_etl
 from .session import build_session
 from .sources.ip_rules import read_ip_rules
 from .sources.streams import kafka_lines, text_lines
+from .streaming.events import start_bad_records, start_event_load
 from .streaming.flow import start_flow
+from .streaming.landing import start_landing
 from .streaming.start import FLOW_EVERY
 
 
@@ -21,34 +23,51 @@ def main(argv: list[str] | None = None) -> None:
     etl.add_argument("--logs", required=True)
     etl.add_argument("--ip-rules", required=True)
     etl.add_argument("--warehouse", required=True)
+    etl.add_argument("--landed", action="store_true", help="the logs are those the landing stream wrote")
     daily = jobs.add_parser("daily", help="write the facts of one day")
     daily.add_argument("date")
     daily.add_argument("--warehouse", required=True)
-    flow = jobs.add_parser("flow", help="keep the flow per place up to date from a stream of log lines")
-    source = flow.add_mutually_exclusive_group(required=True)
-    source.add_argument("--path", help="folder that receives text files")
-    source.add_argument("--servers", help="Kafka bootstrap servers (needs the connector)")
-    flow.add_argument("--topics", nargs="+", default=["event_log"])
-    flow.add_argument("--reset", default="latest", help="where to begin without a checkpoint")
-    flow.add_argument("--max-offsets", type=int)
-    flow.add_argument("--ip-rules", required=True)
-    flow.add_argument("--warehouse", required=True)
-    flow.add_argument("--checkpoint", required=True)
-    flow.add_argument("--every", default=FLOW_EVERY, help="micro-batch interval")
-    flow.add_argument("--once", action="store_true", help="take what is there and stop")
+    live = {
+        "flow": "keep the flow per place up to date from a stream of log lines",
+        "events": "append events from a stream of log lines to the event store",
+        "bad-records": "store the lines of a stream that cannot become events, with the reason",
+        "landing": "store the lines of a stream as they are, by the hour they came in",
+    }
+    for name, purpose in live.items():
+        job = jobs.add_parser(name, help=purpose)
+        source = job.add_mutually_exclusive_group(required=True)
+        source.add_argument("--path", help="folder that receives text files")
+        source.add_argument("--servers", help="Kafka bootstrap servers (needs the connector)")
+        job.add_argument("--topics", nargs="+", default=["event_log"])
+        job.add_argument("--reset", default="latest", help="where to begin without a checkpoint")
+        job.add_argument("--max-offsets", type=int)
+        if name in ("flow", "events"):
+            job.add_argument("--ip-rules", required=True)
+        job.add_argument("--warehouse", required=True)
+        job.add_argument("--checkpoint", required=True)
+        job.add_argument("--every", default=FLOW_EVERY, help="micro-batch interval")
+        job.add_argument("--once", action="store_true", help="take what is there and stop")
     args = parser.parse_args(argv)
     spark = build_session(f"sessionloom-{args.job}")
     if args.job == "etl":
-        run_etl(spark, args.date, args.logs, args.ip_rules, args.warehouse)
+        run_etl(spark, args.date, args.logs, args.ip_rules, args.warehouse, args.landed)
     elif args.job == "daily":
         run_daily(spark, args.date, args.warehouse)
     else:
         lines = text_lines(spark, args.path) if args.path else kafka_lines(
             spark, args.servers, args.topics, reset=args.reset, max_offsets_per_trigger=args.max_offsets)
-        start_flow(
-            lines, read_ip_rules(spark, args.ip_rules), f"{args.warehouse}/flow_log", args.checkpoint,
-            warehouse=args.warehouse, every=None if args.once else args.every,
-        ).awaitTermination()
+        every = None if args.once else args.every
+        if args.job == "flow":
+            query = start_flow(lines, read_ip_rules(spark, args.ip_rules), f"{args.warehouse}/flow_log",
+                               args.checkpoint, warehouse=args.warehouse, every=every)
+        elif args.job == "events":
+            query = start_event_load(lines, read_ip_rules(spark, args.ip_rules), f"{args.warehouse}/events",
+                                     args.checkpoint, every)
+        elif args.job == "bad-records":
+            query = start_bad_records(lines, f"{args.warehouse}/bad_lines", args.checkpoint, every)
+        else:
+            query = start_landing(lines, f"{args.warehouse}/landing", args.checkpoint, every=every)
+        query.awaitTermination()
 
 
 if __name__ == "__main__":

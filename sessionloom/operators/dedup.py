@@ -23,9 +23,9 @@ def latest_per_key(df: DataFrame, key: Sequence[str], *order: Column) -> DataFra
 def dedup_events(events: DataFrame, *order: Column) -> DataFrame:
     """One row per (access_time, uid, en), the first under ``order``.
 
-    Log lines carry no sequence. Without an order the choice among copies falls
-    to a hash of the row, which at least repeats on every run.
+    Log lines carry no sequence. Among copies that ``order`` does not tell apart
+    the choice falls to a hash of the row, which repeats on every run.
     """
     rest = [f for f in events.schema.fields if f.name not in EVENT_KEY]
     hashed = F.xxhash64(*[F.map_entries(f.name) if isinstance(f.dataType, MapType) else F.col(f.name) for f in rest])
-    return latest_per_key(events, EVENT_KEY, *(order or (hashed.desc(),)))
+    return latest_per_key(events, EVENT_KEY, *order, hashed.desc())

@@ -26,18 +26,18 @@ def _places(*frames: DataFrame) -> DataFrame:
 def run_daily(spark: SparkSession, date: str, warehouse: str) -> None:
     """Write all facts of one day; running it again replaces them.
 
-    The session grain is written once and read back, so that the three analyses
-    on it neither repeat the shuffle of raw events nor depend on cached blocks
+    The day's events without copies, and the session grain, are written once and read back, so that the three analyses
+    on it neither repeat the scan and shuffle of raw events nor depend on cached blocks
     that go with a lost executor. The fact inputs are small and stored the same way.
     """
     day = checked_date(date)
-    events = read_event_day(spark, f"{warehouse}/events", date)
     stage = f"{warehouse}/stage/dt={day}"
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{stage}/{name}")
         return spark.read.schema(df.schema).parquet(f"{stage}/{name}")
 
+    events = stored(read_event_day(spark, f"{warehouse}/events", date), "events")
     grain = stored(session_grain(events), "grain")
     sessions = stored(session_aggr_stat(grain), "sessions")
     users = stored(stats_user(grain), "users")

@@ -6,20 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.parse import bad_records, good_events, parse_lines
 from ..operators.regions import resolve_regions
+from ..session import written_once
 from ..sinks.tables import write_event_load
 from ..sources.ip_rules import read_ip_rules
-from ..sources.logs import read_day_logs
+from ..sources.logs import read_day_logs, read_landed_day
+
+
+def located(parsed: DataFrame, rules: DataFrame) -> DataFrame:
+    """Good events of parsed lines with their regions."""
+    return resolve_regions(good_events(parsed), rules, "line_ip_num").drop("line_ip_num")
 
 
 def located_events(lines: DataFrame, rules: DataFrame) -> DataFrame:
     """Good events of some lines with their regions; batch and stream alike."""
-    return resolve_regions(good_events(parse_lines(lines)), rules, "line_ip_num").drop("line_ip_num")
+    return located(parse_lines(lines), rules)
+
 
+def run_etl(spark: SparkSession, date: str, log_prefix: str, rule_path: str, warehouse: str,
+            landed: bool = False) -> None:
+    """Parse, locate and store one day; lines that cannot be stored go to ``bad_records``.
 
-def run_etl(spark: SparkSession, date: str, log_prefix: str, rule_path: str, warehouse: str) -> None:
-    """Parse, locate and store one day; lines that cannot be stored go to ``bad_records``."""
-    lines = read_day_logs(spark, log_prefix, date)
+    ``landed`` says that ``log_prefix`` is the folder of the landing stream.
+    """
+    # the costly part of a load; stored once, as both results come from it
+    read = read_landed_day if landed else read_day_logs
+    parsed = written_once(parse_lines(read(spark, log_prefix, date)))
     rules = read_ip_rules(spark, rule_path)
-    write_event_load(located_events(lines, rules), f"{warehouse}/events", date)
-    bad = bad_records(parse_lines(lines))
+    write_event_load(located(parsed, rules), f"{warehouse}/events", date)
+    bad = bad_records(parsed)
     bad.write.mode("overwrite").parquet(f"{warehouse}/bad_records/load_day={date}")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.dates import checked_date, day_start, next_day
-from ..operators.dedup import EVENT_KEY, latest_per_key
+from ..operators.dedup import dedup_events
 from ..schemas import ANALYSIS_COLUMNS, EVENT_SCHEMA, table
 from .logs import MissingInput
 
@@ -25,9 +25,8 @@ def day_slice(events: DataFrame, date: str) -> DataFrame:
 def read_event_day(spark: SparkSession, base: str, date: str) -> DataFrame:
     """The analysis columns of one day, one row per (access_time, uid, en).
 
-    A load keeps each key once. Events that reached a later load replace those of
-    the day's own load; since they are few, only their keys are looked up in it
-    and its rows stay where they are.
+    The copy of the latest load wins; among copies of one load, as a stream may append them, the one that
+    ``dedup_events`` keeps. One scan and one shuffle, in which each task passes on one copy of a key.
     """
     day = checked_date(date)
     try:
@@ -37,12 +36,14 @@ def read_event_day(spark: SparkSession, base: str, date: str) -> DataFrame:
             raise MissingInput(f"no event table: {base}") from err
         raise
     rows = day_slice(table.filter(F.col("dt") == F.lit(day)), date)
-    own = rows.filter(F.col("load_day") == F.lit(day))
-    other = latest_per_key(rows.filter(F.col("load_day") != F.lit(day)), EVENT_KEY, F.desc("load_day"))
-    # an earlier load than the day itself (clock ahead) loses against the own load
-    later = other.filter(F.col("load_day") > F.lit(day))
-    earlier = other.filter(F.col("load_day") < F.lit(day))
-    kept = own.join(later.select(*EVENT_KEY), EVENT_KEY, "left_anti")
-    early = earlier.join(own.select(*EVENT_KEY), EVENT_KEY, "left_anti")
-    return kept.unionByName(later).unionByName(early).select(*ANALYSIS_COLUMNS)
+    if not rows.limit(1).count() and _unreadable(spark, base):
+        raise MissingInput(f"no folders load_day=/dt= in {base}")
+    return dedup_events(rows.drop("dt"), F.desc("load_day")).select(*ANALYSIS_COLUMNS)
 
+
+def _unreadable(spark: SparkSession, base: str) -> bool:
+    """Whether a folder holds entries but none of the event store's own layout."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    names = [f.getPath().getName() for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
+    data = [n for n in names if not n.startswith(("_", "."))]
+    return bool(data) and not any(n.startswith("load_day=") for n in data)

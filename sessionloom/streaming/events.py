@@ -1,29 +1,32 @@
-"""Streaming load: lines to stored events, late copies dropped."""
+"""Streaming load: lines to stored events."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.dedup import EVENT_KEY
+from ..functions.dates import event_date
 from ..operators.parse import bad_records, parse_lines
 from ..plans.etl import located_events
 from ..schemas import EVENT_COLUMNS
-from .start import FLOW_EVERY, paced
+from .start import FLOW_EVERY, paced, start_batches
 
 
-def live_events(lines: DataFrame, rules: DataFrame, watermark: str = "1 hour") -> DataFrame:
-    """Located events, each (access_time, uid, en) once as long as its copies arrive within the watermark."""
-    timed = located_events(lines, rules).withColumn("ts", F.timestamp_millis("access_time"))
-    return timed.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(EVENT_KEY)
+def start_event_load(lines: DataFrame, rules: DataFrame, path: str, checkpoint: str,
+                     every: str | None = FLOW_EVERY) -> StreamingQuery:
+    """Append every good event to the event store, however late, under the day it was loaded on.
 
+    Folders are those of the batch load, and ``read_event_day`` reads both. Copies are stored and resolved on reading.
+    """
+    rows = located_events(lines, rules).select(
+        *EVENT_COLUMNS, "params", F.to_date(F.current_timestamp()).alias("load_day"),
+        event_date(F.col("access_time")).alias("dt"))
 
-def start_event_load(lines: DataFrame, rules: DataFrame, path: str, checkpoint: str,
-                     every: str | None = FLOW_EVERY, watermark: str = "1 hour") -> StreamingQuery:
-    events = live_events(lines, rules, watermark)
-    rows = events.select(*EVENT_COLUMNS, "params", F.to_date("ts").alias("dt"))
-    writer = rows.writeStream.format("parquet").option("path", path).partitionBy("dt")
-    return paced(writer, checkpoint, every).start()
+    def append(batch: DataFrame, batch_id: int) -> None:
+        # a replayed batch writes its file set anew; the copies it leaves behind are copies like others
+        batch.write.mode("append").partitionBy("load_day", "dt").parquet(path)
+
+    return start_batches(rows, append, checkpoint, every)
 
 
 def start_bad_records(lines: DataFrame, path: str, checkpoint: str, every: str | None = FLOW_EVERY) -> StreamingQuery:

@@ -8,7 +8,8 @@ from sessionloom.operators import grain, locations, visits, wordcount
 from sessionloom.plans.etl import located_events
 from sessionloom.session import pin_utc
 from sessionloom.sources import derived, streams
-from sessionloom.sources.logs import read_landed_day
+from sessionloom.sources.event_table import read_event_day
+from sessionloom.sources.logs import MissingInput, read_landed_day
 from sessionloom.streaming import events as live
 from sessionloom.streaming import flow, landing, sessions, start
 from sessionloom.streaming import wordcount as words
@@ -114,8 +115,8 @@ def test_flow_compaction_and_facts(spark, tmp_path, rules):
     assert os.path.exists(f"{tmp_path}/flow/base/upto=2/_SUCCESS")
     expected = batch_flow(spark, src, rules)
     assert rows(flow.current_flow(spark, f"{tmp_path}/flow"), *FLOW) == rows(expected, *FLOW)
-    places = spark.read.parquet(f"{warehouse}/dimension_location")
-    dates = spark.read.parquet(f"{warehouse}/dimension_date")
+    places = spark.read.parquet(f"{warehouse}/live/dimension_location")
+    dates = spark.read.parquet(f"{warehouse}/live/dimension_date")
     assert places.count() == places.select("id").distinct().count()
     facts = flow.current_flow_facts(spark, warehouse)
     named = facts.join(places.withColumnRenamed("id", "location_dimension_id"), "location_dimension_id").join(
@@ -207,13 +208,40 @@ def test_closed_sessions_equal_batch(spark, tmp_path, rules):
     assert ("u1", DAY, DAY + 1000 + gap, 3) in got
 
 
+def test_late_events_are_stored_in_any_order(spark, tmp_path, rules):
+    src, day = str(tmp_path / "in"), 86_400_000
+    for k, ms in enumerate([20 * day, 5, 10 * day, 20 * day + 1]):
+        put(src, f"{k}.log", [line(ms, f"u{k}", "s", "e_pv")])
+    live.start_event_load(streams.text_lines(spark, src, 1), rules, f"{tmp_path}/ev", f"{tmp_path}/cp",
+                          every=None).awaitTermination()
+    days = ["2019-04-25", "2019-05-05", "2019-05-15"]
+    assert [read_event_day(spark, f"{tmp_path}/ev", d).count() for d in days] == [1, 1, 2]
+
+
+def test_a_time_far_ahead_does_not_silence_the_flow(spark, tmp_path, rules):
+    src = str(tmp_path / "in")
+    ahead = line(1, "x", "x", "e_l") + "&access_time=9999999999999"
+    put(src, "0.log", [ahead, line(1, "y", "y", "e_l") + "&access_time=9223372036854775807"])
+    for k in range(3):
+        put(src, f"{k + 1}.log", [line(10 + k, f"u{k}", f"s{k}", "e_l")])
+    run_flow(spark, src, rules, tmp_path, watermark="7 days")
+    got = rows(flow.current_flow(spark, f"{tmp_path}/flow"), *FLOW)
+    assert got == rows(batch_flow(spark, src, rules), *FLOW) and max(r[5] for r in got) == 3
+
+
+def test_a_folder_of_another_layout_is_an_error(spark, tmp_path):
+    spark.createDataFrame([(1,)], "access_time long").write.parquet(f"{tmp_path}/ev/dt=2019-04-25")
+    with pytest.raises(MissingInput):
+        read_event_day(spark, f"{tmp_path}/ev", "2019-04-25")
+
+
 def test_live_event_load_drops_copies_and_keeps_bad_lines(spark, tmp_path, rules):
     src = str(tmp_path / "in")
     put(src, "0.log", [line(1, "u1", "s1", "e_l"), "1.x.0.1|1|h|/l?en=e_l&uid=u"])
     put(src, "1.log", [line(1, "u1", "s1", "e_l"), line(2, "u1", "s1", "e_pv", "1.0.1.9")])
     lines = streams.text_lines(spark, src, 1)
     live.start_event_load(lines, rules, f"{tmp_path}/ev", f"{tmp_path}/cp", every=None).awaitTermination()
-    got = rows(spark.read.parquet(f"{tmp_path}/ev"), "access_time", "uid", "en", "city")
+    got = rows(read_event_day(spark, f"{tmp_path}/ev", "2019-04-25"), "access_time", "uid", "en", "city")
     assert got == [(DAY + 1, "u1", "e_l", "X"), (DAY + 2, "u1", "e_pv", "Y")]
     live.start_bad_records(lines, f"{tmp_path}/bad", f"{tmp_path}/cp2", every=None).awaitTermination()
     assert rows(spark.read.parquet(f"{tmp_path}/bad"), "reason") == [("bad_ip",)]
