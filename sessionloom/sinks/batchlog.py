@@ -52,7 +52,12 @@ def compact(
     latest: Callable[[DataFrame], DataFrame],
     partition_by: list[str] | None = None,
 ) -> None:
-    """Write the state after batch ``upto`` as a new base; old folders are left for clean-up by age."""
+    """Write the state after batch ``upto`` as a new base; old folders are left for clean-up by age.
+
+    A base that is there already is left alone: a replayed batch would read what it overwrites.
+    """
+    if upto in _committed_bases(spark, path):
+        return
     rows = latest(read_log(spark, path, schema).filter(F.col("batch_id") <= upto)).select(*schema.names)
     writer = rows.write.mode("overwrite")
     if partition_by:

@@ -10,6 +10,7 @@ from ..functions.dates import checked_date, event_date
 from ..operators.dedup import dedup_events
 from ..operators.dims import new_dimension_rows
 from ..schemas import EVENT_COLUMNS
+from ..session import written_once
 
 
 def write_event_load(events: DataFrame, base: str, load_day: str) -> None:
@@ -34,11 +35,16 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 
 def refresh_dimension(spark: SparkSession, path: str, wanted: DataFrame, key: list[str]) -> DataFrame:
-    """Append ids for unseen keys and return the table. One job at a time may do this per table."""
+    """Append ids for unseen keys, if there are any, and return the table.
+
+    One job at a time may do this per table; the daily and the live job keep tables of their own.
+    """
     schema = StructType([StructField("id", IntegerType()), *[wanted.schema[c] for c in key]])
     existing = read_or_empty(spark, path, schema)
-    new_dimension_rows(existing, wanted, key).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    new = written_once(new_dimension_rows(existing, wanted, key))
+    if new.limit(1).count():
+        new.write.mode("append").parquet(path)
+    return read_or_empty(spark, path, schema)
 
 
 def replace_day(fact: DataFrame, base: str, date_id: int) -> None:
