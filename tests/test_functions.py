@@ -1,4 +1,4 @@
-import re
+import datetime as dt
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -61,16 +61,12 @@ def test_ip_text(spark):
     assert one(spark, long_to_ip(F.col("n")), n=0x01020304) == "1.2.3.4"
 
 
-# a leap-year aware calendar pattern, as an independent statement of the rule
-_DAYS = r"(?:(?:0[1-9]|1[0-2])-(?:0[1-9]|1\d|2[0-8])|(?:0[13-9]|1[0-2])-(?:29|30)|(?:0[13578]|1[02])-31)"
-
-
 def calendar_valid(s):
-    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", s, re.A) or s.startswith("0000"):
+    """Whether Python's own calendar reads the text and writes it back unchanged."""
+    try:
+        return dt.date.fromisoformat(s).isoformat() == s
+    except ValueError:
         return False
-    year = int(s[:4])
-    leap = year % 4 == 0 and (year % 100 != 0 or year % 400 == 0)
-    return bool(re.fullmatch(_DAYS, s[5:])) or (s[5:] == "02-29" and leap)
 
 
 def test_valid_dates(spark):
@@ -106,10 +102,10 @@ def test_days_follow_the_zone_over_a_clock_change(spark):
 
 
 def test_packed_fields(spark):
-    packed_text = "session_count=646|1s_3s=555|4s_6s=1|60=0"
-    assert one(spark, packed.get_field(F.col("s"), "1s_3s"), s=packed_text) == "555"
+    packed_text = "session_count=21|1s_3s=13|4s_6s=8|60=0"
+    assert one(spark, packed.get_field(F.col("s"), "1s_3s"), s=packed_text) == "13"
     assert one(spark, packed.get_field(F.col("s"), "3s"), s=packed_text) is None
-    assert one(spark, packed.set_field(F.col("s"), "4s_6s", F.lit(9)), s=packed_text) == packed_text.replace("s=1|", "s=9|")
+    assert one(spark, packed.set_field(F.col("s"), "4s_6s", F.lit(9)), s=packed_text) == packed_text.replace("s=8|", "s=9|")
     assert one(spark, packed.set_field(F.col("s"), "none", F.lit(9)), s=packed_text) == packed_text
     assert one(spark, packed.unpack_fields(F.col("s"))["60"], s=packed_text) == "0"
 
