@@ -15,8 +15,8 @@ FUNCTIONS = {
         "CASE WHEN contains(lower(ua), 'android') THEN 'android' "
         "WHEN contains(lower(ua), 'iphone') THEN 'iphone' ELSE 'pc' END",
     "ip_to_long(ip STRING) RETURNS BIGINT":
-        r"CASE WHEN ip RLIKE r'^\.+$' THEN 0L WHEN ip RLIKE r'^[0-9.+-]+$' THEN "
-        r"aggregate(transform(split(regexp_replace(ip, r'[.]+$', ''), '[.]'), o -> try_cast(o AS BIGINT)), 0L, "
+        r"CASE WHEN ip RLIKE r'\A\.+\z' THEN 0L WHEN ip RLIKE r'\A[0-9.+-]+\z' THEN "
+        r"aggregate(transform(split(regexp_replace(ip, r'[.]+\z', ''), '[.]'), o -> try_cast(o AS BIGINT)), 0L, "
         r"(acc, o) -> shiftleft(acc, 8) | o) END",
     "is_valid_date(s STRING) RETURNS BOOLEAN":
         r"coalesce(s RLIKE r'\A\d{4}-\d{2}-\d{2}\z' AND substring(s, 1, 4) <> '0000' "

@@ -8,7 +8,18 @@ numbers come from event-level windows.
 from __future__ import annotations
 
 from ..functions.ratios import BELOW_HALF
-from ..operators.sessions import STEP_BUCKETS, TIME_BUCKETS
+
+# --- fixed values, stated here once more so that a wrong bound on the Spark side shows: column, packed name, bounds
+TIME_BUCKETS = {
+    "time_1s_3s": ("1s_3s", 0, 3), "time_4s_6s": ("4s_6s", 4, 6), "time_7s_9s": ("7s_9s", 7, 9),
+    "time_10s_30s": ("10s_30s", 10, 30), "time_30s_60s": ("30s_60s", 31, 60), "time_1m_3m": ("1m_3m", 61, 180),
+    "time_3m_10m": ("3m_10m", 181, 600), "time_10m_30m": ("10m_30m", 601, 1800), "time_30m": ("30m", 1801, None),
+}
+STEP_BUCKETS = {
+    "step_1_3": ("1_3", 1, 3), "step_4_6": ("4_6", 4, 6), "step_7_9": ("7_9", 7, 9),
+    "step_10_30": ("10_30", 10, 30), "step_30_60": ("30_60", 31, 60), "step_60": ("60", 61, None),
+}
+# ------------------------------------------------------------------------------
 
 VISITS = """
 src AS (
