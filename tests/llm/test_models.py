@@ -69,7 +69,7 @@ def test_model_beats_unigrams_on_held_out_text(spark):
     data = [(k, " ".join(rng.choice(lines) for _ in range(20))) for k in range(200)]
     found = maxent.scored(spark.createDataFrame(data, "doc_id long, text string").repartition(2))
     held = found.filter("held_out").selectExpr("sum(score)", "sum(base_score)").first()
-    assert held[0] > 0.5 * held[1]
+    assert held[0] > 0.8 * held[1]
 
 
 def test_language_model_without_training_rows(spark, no_docs):
