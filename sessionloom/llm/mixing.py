@@ -117,11 +117,12 @@ def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
 
     A missing or empty text has size 0: it moves no budget, and is taken by the same threshold as others. A
     missing source is a source of its own, after all others. Rows that share a key share a place, so all or none
-    of them are in a pass. An empty table mixes to an empty one.
+    of them are in a pass. An empty table mixes to an empty one; a column ``epoch`` of the input is replaced.
     """
     plan = mix_plan(sized_rows(docs, key, source, text), **shares)
-    rows = docs.withColumn("_key", source_key(F.col(source))).withColumn("_place", place(F.col(key)))
-    edges = plan.select(F.col("source_key").alias("_key"), F.col("rounds").alias("_rounds"), F.col("edge").alias("_edge"))
-    taken = F.col("_rounds") + (F.col("_place") < F.col("_edge")).cast("long")
-    return lookup_join(rows, edges, "_key", "inner", 256).filter(taken > 0).withColumn(
-        "epoch", F.explode(F.sequence(F.lit(1), taken.cast("int")))).select(*docs.columns, "epoch")
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "epoch"]).alias("row"),
+                       source_key(F.col(source)).alias("source_key"), place(F.col(key)).alias("place"))
+    edges = plan.select("source_key", "rounds", "edge")
+    taken = lookup_join(rows, edges, "source_key", "inner", 256).filter(copies() > 0)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), copies().cast("int"))).alias("epoch")).select(
+        "row.*", "epoch")

@@ -149,6 +149,7 @@ def uncontaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", t
 
     Rows are told apart by id and text, so of two rows with one id only the contaminated one goes.
     """
-    found = contamination(docs, benchmark, doc, text, window).filter("contaminated")
-    return docs.join(found.select(F.col(doc).alias("_doc"), F.col("_key")).distinct(),
-                     F.col(doc).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_key")), "left_anti")
+    found = contamination(docs, benchmark, doc, text, window).filter("contaminated").select(
+        F.col(doc).alias("hit"), F.col("_key").alias("hit_key")).distinct()
+    same = docs[doc].eqNullSafe(found["hit"]) & (F.xxhash64(docs[text]) == found["hit_key"])
+    return docs.join(found, same, "left_anti")
