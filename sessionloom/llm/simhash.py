@@ -29,7 +29,7 @@ BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 4, 16, 1
 VANTAGE = (0x0000, 0x00FF, 0x0F0F, 0x3333, 0x5555, 0x7FFF, 0x035F, 0x6C1A)
 RING_BITS = 5
 # rows and columns of the distance matrix a task holds at once, and points up to which a shard is solved by offsets
-TILE, SPAN, SMALL = 256, 1 << 14, 64
+TILE, SPAN, SMALL = 256, 1 << 14, 12
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -134,17 +134,31 @@ def close_links(marks: np.ndarray, owned: np.ndarray, distance: int = DISTANCE)
 
 def _small_links(shard: np.ndarray, marks: np.ndarray, owned: np.ndarray, distance: int):
     """Pairs of many small shards at once: every point meets those that follow it in its shard, by offset."""
-    a, b = [], []
+    a, b = [marks[:0]], [marks[:0]]
     for step in range(1, len(marks)):
-        same = shard[step:] == shard[:-step]
-        if not same.any():
+        at = np.flatnonzero((shard[step:] == shard[:-step]) & (owned[step:] | owned[:-step]))
+        if not len(at) and not (shard[step:] == shard[:-step]).any():
             break
-        at = np.flatnonzero(same)
-        close = np.bitwise_count(marks[at] ^ marks[at + step]) <= distance
-        at = at[close & (owned[at] | owned[at + step])]
+        at = at[np.bitwise_count(marks[at] ^ marks[at + step]) <= distance]
         a.append(marks[at])
         b.append(marks[at + step])
-    return (np.concatenate(a), np.concatenate(b)) if a else (marks[:0], marks[:0])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _shard_links(marks: np.ndarray, owned: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of one shard: by one matrix of its own points with all while it is small, else by the search.
+
+    A shard with more than a few links for each point is left to the search as well, which returns a forest.
+    """
+    own = np.flatnonzero(owned)
+    if len(own) * len(marks) <= TILE * SPAN:
+        a, b = np.nonzero(np.bitwise_count(marks[own][:, None] ^ marks[None, :]) <= distance)
+        a = own[a]
+        pick = (a < b) | (~owned[b])
+        if pick.sum() <= 4 * len(marks):
+            return marks[a[pick]], marks[b[pick]]
+    links = close_links(marks, owned, distance)
+    return tuple(np.array(x, np.uint64) for x in zip(*links)) if links else (marks[:0], marks[:0])
 
 
 def link_fingerprints(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -162,9 +176,7 @@ def link_fingerprints(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
             found = [(a, b)]
             for k in np.flatnonzero(large):
                 part = slice(begins[k], begins[k] + sizes[k])
-                links = close_links(mark[part], owned[part], distance)
-                if links:
-                    found.append(tuple(np.array(x, np.uint64) for x in zip(*links)))
+                found.append(_shard_links(mark[part], owned[part], distance))
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([f[i] for f in found]).view(np.int64)) for i in (0, 1)], names=["a", "b"])
 
