@@ -24,7 +24,7 @@ from .common import lookup_join
 # number of the skippable frame that holds a dictionary
 DICTIONARY_FRAME = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-# records (smallest key hashes) and bytes of each that a dictionary is built from, and its size
+# records, and bytes of each, that a dictionary is built from, and its size
 SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 512, 16 << 10, 64 << 10
 LEVEL = 6
 READ_BYTES = 1 << 20
@@ -157,12 +157,14 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:
     Every task writes an archive of its own under a name of its own, and only files of tasks that succeeded
     are in the returned table: an attempt that was lost leaves a file nobody lists. Rows without html have an
     empty payload; rows of an empty table give no archive. Further columns are ignored.
-    The dictionary comes from a fixed number of records: those with the smallest hashes of their keys.
+    The dictionary comes from about ``SAMPLE_RECORDS`` records, taken by the hashes of their keys, and at most twice
+    as many, whatever the table's size; it changes the compression only.
     """
     spark = pages.sparkSession
-    sample = (pages.filter(F.col("html").isNotNull())
-              .select(F.xxhash64("page_id").alias("at"), F.substring("html", 1, SAMPLE_BYTES).alias("html"))
-              .orderBy("at", "html").limit(SAMPLE_RECORDS).collect())
+    held = pages.filter(F.col("html").isNotNull())
+    below = int(min(1.0, SAMPLE_RECORDS / max(held.count(), 1)) * (1 << 31))
+    sample = (held.filter(F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 31)) < below)
+              .select(F.substring("html", 1, SAMPLE_BYTES).alias("html")).limit(2 * SAMPLE_RECORDS).collect())
     dictionary = spark.sparkContext.broadcast(build_dictionary([r.html.encode() for r in sample]))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
