@@ -33,34 +33,40 @@ CANDIDATES, LEAST_TEXTS, LEAST_SHARE = 800, 4, 0.007
 # likeness below which a string is like none; sentences of a labelled text that are learned from
 FAR, SENTENCES = 0.5, 4
 ROUNDS, STEPS, RIDGE, SLACK = 3, 2000, 1e-2, 1e-3
-# windows a task remembers
-MEMORY = 400_000
+# words and windows a task remembers, and texts it looks at together
+MEMORY, GROUP = 600_000, 64
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)|\n+")
+# three characters in a row that stand alone
+_SPELT = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _SPOTS = np.array(list(combinations(range(WINDOW), GRAM)))
 _WEIGHT = (DECAY ** (_SPOTS[:, -1] - _SPOTS[:, 0] + 1)).astype(np.float32)
 
 
-def units(sentence: str) -> list[str]:
-    """Strings to look at: words in lower case without marks inside, with a sign for their beginning.
+def bare(word: str) -> str:
+    """A word in lower case without marks inside."""
+    word = word.lower()
+    return word if word.isalnum() else "".join(filter(str.isalnum, word))
 
-    Words spelt letter by letter are joined.
-    """
-    found, spelt = [], []
-    for word in sentence.lower().split():
-        bare = word if word.isalnum() else "".join(filter(str.isalnum, word))
-        if len(bare) == 1:
-            spelt.append(bare)
+
+def spelt(words: list[str]) -> list[str]:
+    """Words spelt letter by letter, joined."""
+    found, letters = [], []
+    for word in [*words, ".."]:
+        if len(letter := bare(word)) == 1:
+            letters.append(letter)
             continue
-        if len(spelt) >= GRAM:
-            found.append(BEGIN + "".join(spelt))
-        spelt = []
-        if len(bare) >= GRAM:
-            found.append(BEGIN + bare)
-    if len(spelt) >= GRAM:
-        found.append(BEGIN + "".join(spelt))
+        if len(letters) >= GRAM:
+            found.append("".join(letters))
+        letters = []
     return found
 
 
+def units(sentence: str) -> list[str]:
+    """Strings to look at: bare words and spelt ones, with a sign for their beginning."""
+    words = sentence.split()
+    return [BEGIN + w for w in [*map(bare, words), *spelt(words)] if len(w) >= GRAM]
+
+
 def windows(unit: str) -> list[str]:
     """Every piece of ``STEM`` characters, and pieces of ``WINDOW`` characters that overlap by all but two."""
     out = [unit[s:s + STEM] for s in range(max(len(unit) - STEM, 0) + 1)]
@@ -126,33 +132,50 @@ class Landmarks:
 
 
 class Reader:
-    """Coordinates of sentences; remembers which strings are near a landmark."""
+    """Coordinates of sentences; remembers which words are near a landmark."""
 
     def __init__(self, names: list[str]):
         self.landmarks = Landmarks(names)
         self.far: set[str] = set()
         self.near: dict[str, np.ndarray] = {}
-
-    def _learn(self, strings: set[str]) -> None:
-        new = [s for s in strings if s not in self.far and s not in self.near]
-        values = self.landmarks.likeness(new)
+        self.near_windows: dict[str, np.ndarray] = {}
+        self.far_windows: set[str] = set()
+
+    def _learn(self, words: set[str]) -> None:
+        """Sort new words into near and far by the best likeness of their windows."""
+        new = [(w, windows(BEGIN + b)) for w in words if len(b := bare(w)) >= GRAM]
+        self.far.update(words)
+        strings = list({x for _, xs in new for x in xs if x not in self.far_windows and x not in self.near_windows})
+        values = self.landmarks.likeness(strings)
         hot = values.max(1, initial=0) >= FAR ** POWER
-        for s, h, v in zip(new, hot.tolist(), values):
+        for x, h, v in zip(strings, hot.tolist(), values):
             if h:
-                self.near[s] = v
+                self.near_windows[x] = v
             else:
-                self.far.add(s)
+                self.far_windows.add(x)
+        for w, xs in new:
+            found = [self.near_windows[x] for x in xs if x in self.near_windows]
+            if found:
+                self.near[w] = np.max(found, axis=0)
+                self.far.discard(w)
 
     def texts(self, texts: list[str]) -> Iterator[list[np.ndarray]]:
         """For every text, the coordinates of its sentences that are near a landmark; the others are all zero."""
-        for text in texts:
-            if len(self.far) + len(self.near) > MEMORY:
-                self.far.clear()
-                self.near.clear()
-            lines = [[w for u in units(s) for w in windows(u)] for s in sentences(text)]
-            self._learn({w for line in lines for w in line if w not in self.far})
-            found = ([self.near[w] for w in line if w in self.near] for line in lines)
-            yield [np.max(hot, axis=0) for hot in found if hot]
+        for at in range(0, len(texts), GROUP):
+            part = texts[at:at + GROUP]
+            if len(self.far) + len(self.near) + len(self.far_windows) > MEMORY:
+                self.far, self.near, self.far_windows, self.near_windows = set(), {}, set(), {}
+            held = [set(t.split()) for t in part]
+            letters = [spelt(t.split()) if _SPELT.search(t) else [] for t in part]
+            self._learn({w for ws in (*held, *letters) for w in ws if w not in self.far and w not in self.near})
+            for text, words, joined in zip(part, held, letters):
+                if self.near.keys().isdisjoint(words) and self.near.keys().isdisjoint(joined):
+                    yield []
+                    continue
+                lines = (s.split() for s in sentences(text))
+                found = ([self.near[w] for w in (*line, *(spelt(line) if joined else ())) if w in self.near]
+                         for line in lines)
+                yield [np.max(hot, axis=0) for hot in found if hot]
 
 
 @dataclass
