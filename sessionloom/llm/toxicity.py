@@ -36,8 +36,6 @@ ROUNDS, STEPS, RIDGE, SLACK = 3, 2000, 1e-2, 1e-3
 # words and windows a task remembers, and texts it looks at together
 MEMORY, GROUP = 600_000, 64
 _SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)|\n+")
-# three characters in a row that stand alone
-_SPELT = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _SPOTS = np.array(list(combinations(range(WINDOW), GRAM)))
 _WEIGHT = (DECAY ** (_SPOTS[:, -1] - _SPOTS[:, 0] + 1)).astype(np.float32)
 
@@ -140,11 +138,16 @@ class Reader:
         self.near: dict[str, np.ndarray] = {}
         self.near_windows: dict[str, np.ndarray] = {}
         self.far_windows: set[str] = set()
+        # words of one bare character
+        self.single: set[str] = set()
 
     def _learn(self, words: set[str]) -> None:
-        """Sort new words into near and far by the best likeness of their windows."""
-        new = [(w, windows(BEGIN + b)) for w in words if len(b := bare(w)) >= GRAM]
+        """Sort words not met before into near and far by the best likeness of their windows."""
+        words = [w for w in words if w not in self.far and w not in self.near]
+        bares = [bare(w) for w in words]
+        new = [(w, windows(BEGIN + b)) for w, b in zip(words, bares) if len(b) >= GRAM]
         self.far.update(words)
+        self.single.update(w for w, b in zip(words, bares) if len(b) == 1)
         strings = list({x for _, xs in new for x in xs if x not in self.far_windows and x not in self.near_windows})
         values = self.landmarks.likeness(strings)
         hot = values.max(1, initial=0) >= FAR ** POWER
@@ -159,22 +162,33 @@ class Reader:
                 self.near[w] = np.max(found, axis=0)
                 self.far.discard(w)
 
+    def _spells(self, words: list[str]) -> bool:
+        """Whether so many words of one character follow each other that ``spelt`` may join them."""
+        if self.single.isdisjoint(words):
+            return False
+        at = [k for k, w in enumerate(words) if w in self.single]
+        return any(b - a == GRAM - 1 for a, b in zip(at, at[GRAM - 1:]))
+
     def texts(self, texts: list[str]) -> Iterator[list[np.ndarray]]:
-        """For every text, the coordinates of its sentences that are near a landmark; the others are all zero."""
+        """For every text, the coordinates of its sentences that are near a landmark; the others are all zero.
+
+        Only texts that hold a near word or may spell one are cut into sentences. What is looked up are the words of
+        the sentences, which lack the marks of their end, and the joins of each sentence; so these are learnt as well.
+        """
         for at in range(0, len(texts), GROUP):
-            part = texts[at:at + GROUP]
+            part = [t.split() for t in texts[at:at + GROUP]]
             if len(self.far) + len(self.near) + len(self.far_windows) > MEMORY:
                 self.far, self.near, self.far_windows, self.near_windows = set(), {}, set(), {}
-            held = [set(t.split()) for t in part]
-            letters = [spelt(t.split()) if _SPELT.search(t) else [] for t in part]
-            self._learn({w for ws in (*held, *letters) for w in ws if w not in self.far and w not in self.near})
-            for text, words, joined in zip(part, held, letters):
-                if self.near.keys().isdisjoint(words) and self.near.keys().isdisjoint(joined):
-                    yield []
-                    continue
-                lines = (s.split() for s in sentences(text))
-                found = ([self.near[w] for w in (*line, *(spelt(line) if joined else ())) if w in self.near]
-                         for line in lines)
+                self.single = set()
+            self._learn(set().union(*part))
+            cut = []
+            for text, words in zip(texts[at:at + GROUP], part):
+                spells = self._spells(words)
+                lines = map(str.split, sentences(text)) if spells or not self.near.keys().isdisjoint(words) else ()
+                cut.append([[*line, *(spelt(line) if spells else ())] for line in lines])
+            self._learn({w for lines in cut for line in lines for w in line})
+            for lines in cut:
+                found = ([self.near[w] for w in line if w in self.near] for line in lines)
                 yield [np.max(hot, axis=0) for hot in found if hot]
 
 

@@ -150,6 +150,35 @@ def test_kernel_equals_its_definition():
                 assert found[i, j] <= toxicity.FAR ** toxicity.POWER + 1e-5
 
 
+@pytest.mark.parametrize("text", [
+    "you i d i o t. A man went", "we have plan b. i d i o t here", "a man\nI d i o t\nb c d", "you i- d- i- o- t- there",
+    "you i, d, i, o, t, there", "you are an idiot. Bye now", "such an idiot!", "an idiot?! Go"])
+def test_every_sentence_is_looked_up_as_learnt(text):
+    """By a new reader, which has met nothing before, as by one that knows the bare word."""
+    names = [toxicity.BEGIN + "idiot"]
+    new, old = toxicity.Reader(names), toxicity.Reader(names)
+    list(old.texts(["idiot"]))
+    found = [list(r.texts([text, "a clean text"])) for r in (new, old)]
+    for lines, none in found:
+        assert [v.tolist() for v in lines] == [pytest.approx([1.0])] and none == []
+
+
+def test_joins_of_a_sentence_follow_their_definition():
+    rng = random.Random(4)
+    names = ["^idiot", "^trash"]
+    parts = ["i", "d-", "o,", "t", "T.", "I!", "idiot", "trash.", "x", "...", "\n", "plan", "(s)", "h", "a", "r"]
+    landmarks, reader = toxicity.Landmarks(names), toxicity.Reader(names)
+    for _ in range(300):
+        text = " ".join(rng.choice(parts) for _ in range(12))
+        expected = []
+        for s in toxicity.sentences(text):
+            values = [landmarks.likeness(toxicity.windows(u)) for u in toxicity.units(s)]
+            near = [w.max(0) for v in values if len(w := v[v.max(1) >= toxicity.FAR ** toxicity.POWER])]
+            expected += [np.max(near, axis=0)] if near else []
+        found = next(iter(reader.texts([text])))
+        assert len(found) == len(expected) and all(np.allclose(x, y) for x, y in zip(found, expected))
+
+
 def test_quality_on_held_out_rows(labelled):
     docs, labels = labelled
     found = knn_quality.scored(docs, labels)
