@@ -30,8 +30,8 @@ STEM, BEGIN = 5, "^"
 LANDMARKS, NEGATIVE_LANDMARKS = 96, 16
 # candidate strings that compete for landmarks; a landmark marks at least so many and this share of the toxic texts
 CANDIDATES, LEAST_TEXTS, LEAST_SHARE = 800, 4, 0.007
-# likeness below which a string is like none; sentences of a labelled text that are learned from
-FAR, SENTENCES = 0.5, 4
+# likeness below which a string is like none
+FAR = 0.5
 ROUNDS, STEPS, RIDGE, SLACK = 3, 2000, 1e-2, 1e-3
 # words and windows a task remembers, and texts it looks at together
 MEMORY, GROUP = 600_000, 64
@@ -208,8 +208,8 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -50, 50))))
 
 
-def choose_landmarks(sample: DataFrame) -> list[str]:
-    """Strings that mark toxic texts: beginnings of words by how many toxic and how few other texts hold them.
+def choose_landmarks(sample: DataFrame) -> tuple[list[str], list[str]]:
+    """Strings that mark toxic texts, and the most usual ones of others: beginnings of words by how many toxic and how few other texts hold them.
 
     Counted over the bounded sample; then chosen one after another by what they mark that earlier ones mark less.
     """
@@ -250,29 +250,41 @@ def choose_landmarks(sample: DataFrame) -> list[str]:
         chosen.append(names[k])
         open_share[marks[k] > 0] /= 2
         usable &= [not (n.startswith(names[k]) or names[k].startswith(n)) for n in names]
-    return chosen + [r.string for r in usual if r.string not in chosen]
+    return chosen, [r.string for r in usual if r.string not in chosen]
 
 
-def _machine(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear support vector machine by averaged subgradient steps, both classes weighing the same."""
-    cost = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
+def _machine(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, float]:
+    """Linear support vector machine by averaged subgradient steps over rows met ``times`` often; classes weigh the same."""
+    cost = times * np.where(y > 0, 0.5 / max(times[y > 0].sum(), 1), 0.5 / max(times[y < 0].sum(), 1))
     w, b, mean_w, mean_b = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
     for t in range(1, STEPS + 1):
-        wrong = y * (x @ w + b) < 1
+        pull = cost * y * (y * (x @ w + b) < 1)
         rate = 1 / (SLACK * (t + 50))
-        w -= rate * (SLACK * w - (cost * y * wrong) @ x)
-        b += min(rate, 1.0) * float((cost * y * wrong).sum())
+        w -= rate * (SLACK * w - pull @ x)
+        b += min(rate, 1.0) * float(pull.sum())
         if t > STEPS // 2:
             mean_w, mean_b = mean_w + w, mean_b + b
     return mean_w / (STEPS - STEPS // 2), mean_b / (STEPS - STEPS // 2)
 
 
+def distinct_sentences(found: list[np.ndarray], m: int) -> np.ndarray:
+    """All sentences of a text as distinct coordinates, with their number in a last column; one of zeros if there are none."""
+    if not found:
+        return np.append(np.zeros((1, m), np.float32), np.ones((1, 1), np.float32), axis=1)
+    rows, times = np.unique(np.stack(found).astype(np.float32), axis=0, return_counts=True)
+    return np.column_stack((rows, times)).astype(np.float32)
+
+
 def fit(sample: DataFrame) -> Model:
-    """Learn from a bounded sample (text, label). Without both classes every text gets the share of label 1."""
+    """Learn from every sentence of a bounded sample of texts (text, label).
+
+    Without both classes every text gets the share of label 1.
+    """
     sample = sample.persist()
     counts = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
     total = sum(counts.values())
-    names = choose_landmarks(sample) if len(counts) == 2 else []
+    toxic_names, usual_names = choose_landmarks(sample) if len(counts) == 2 else ([], [])
+    names = toxic_names + usual_names
     if not names:
         return Model([], np.zeros(0), 0.0, 1.0, 0.0, counts.get(1, 0) / total if total else 0.0)
     m = len(names)
@@ -280,29 +292,35 @@ def fit(sample: DataFrame) -> Model:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(names)
         for batch in batches:
-            blobs = []
-            for found in reader.texts(batch.column("text").to_pylist()):
-                top = sorted(found, key=lambda v: -float(v.max()))[:SENTENCES]
-                blobs.append(np.stack(top).astype(np.float32).tobytes() if top else b"")
+            blobs = [distinct_sentences(found, m).tobytes() for found in reader.texts(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary()), batch.column("label")], names=["found", "label"])
 
     rows = sorted((bytes(r.found), r.label) for r in sample.mapInArrow(read, "found binary, label int").collect())
     sample.unpersist()
-    texts = [(np.frombuffer(f, np.float32).reshape(-1, m) if f else np.zeros((1, m), np.float32), label)
-             for f, label in rows]
+    labels = np.array([label for _, label in rows], float)
+    blocks = [np.frombuffer(f, np.float32).reshape(-1, m + 1) for f, _ in rows]
+    ends = np.cumsum([len(b) for b in blocks])
+    begins, held = np.append(0, ends[:-1]), np.concatenate(blocks)
+    # sentences of equal coordinates are one row
+    shapes, at = np.unique(held[:, :m], axis=0, return_inverse=True)
+    at = at.reshape(-1)
+    clean = np.repeat(labels == 0, np.diff(np.append(0, ends)))
+    times = np.bincount(at, held[:, m] * clean, len(shapes))
     own = Landmarks(names).likeness(names).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2 + RIDGE * np.eye(m))
     whiten = vectors / np.sqrt(np.maximum(values, RIDGE)) @ vectors.T
-    mapped = [(v @ whiten, label) for v, label in texts]
-    others = [v for v, label in mapped if label == 0]
-    worst = [v[0] for v, label in mapped if label == 1]
+    mapped = shapes @ whiten
+    others = np.flatnonzero(times > 0)
+    toxic = [at[a:b] for a, b, label in zip(begins, ends, labels) if label == 1]
+    # first the sentence that is most like a toxic landmark
+    score = shapes[:, :len(toxic_names)].max(1, initial=0)
     for _ in range(ROUNDS):
-        x = np.concatenate([np.stack(worst), *others, np.zeros((1, m))])
+        worst, often = np.unique([t[np.argmax(score[t])] for t in toxic], return_counts=True)
+        x = np.concatenate([mapped[worst], mapped[others], np.zeros((1, m))])
         y = np.where(np.arange(len(x)) < len(worst), 1.0, -1.0)
-        w, b = _machine(x, y)
-        worst = [v[np.argmax(v @ w)] for v, label in mapped if label == 1]
-    margins = np.array([max(b, float((v @ w).max()) + b) for v, _ in mapped])
-    labels = np.array([label for _, label in mapped], float)
+        w, b = _machine(x, y, np.concatenate([often, times[others], [1]]))
+        score = mapped @ w
+    margins = np.maximum(b, np.maximum.reduceat(score[at], begins) + b)
     slope, offset = 1.0, 0.0
     for _ in range(300):
         error = 1 / (1 + np.exp(-np.clip(slope * margins + offset, -50, 50))) - labels

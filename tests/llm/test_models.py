@@ -179,6 +179,23 @@ def test_joins_of_a_sentence_follow_their_definition():
         assert len(found) == len(expected) and all(np.allclose(x, y) for x, y in zip(found, expected))
 
 
+def test_late_sentences_are_learnt_from(spark):
+    """Spoilt insults after many clean sentences, and margins that are those of scoring."""
+    rng = random.Random(6)
+    usual = ["table", "window", "garden", "letter", "morning", "market", "bridge", "teacher"]
+    clean = lambda n: [" ".join(rng.choice(usual) for _ in range(6)) + "." for _ in range(n)]
+    data = [(clean(12) + [f"you {spoilt(rng.choice(INSULTS), rng) if k % 4 else rng.choice(INSULTS)} there."], 1) if k % 2
+            else (clean(rng.choice([2, 40])), 0) for k in range(240)]
+    texts = [(" ".join(lines), label) for lines, label in data]
+    model = toxicity.fit(spark.createDataFrame(texts, "text string, label int"))
+    found = [model.score(f) for f in toxicity.Reader(model.names).texts([t for t, _ in texts])]
+    assert sum((s >= 0.5) == y for s, (_, y) in zip(found, texts)) >= 0.95 * len(texts)
+    kept = toxicity.distinct_sentences(list(toxicity.Reader(model.names).texts([texts[0][0]]))[0], len(model.names))
+    assert kept[:, -1].sum() == len(data[0][0])
+    # a spoilt insult alone is told from clean sentences
+    assert min(model.score(f) for f in toxicity.Reader(model.names).texts(["you grxobian there", "you schuxrke there"])) > 0.5
+
+
 def test_quality_on_held_out_rows(labelled):
     docs, labels = labelled
     found = knn_quality.scored(docs, labels)
