@@ -200,14 +200,12 @@ def link_fingerprints(marks: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return dealt.mapInArrow(search, "a long, b long")
 
 
-def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """Stored key, mark (fingerprint as long) and component (smallest key reachable) of every row of ``docs``.
+def _reached(marked: DataFrame, value: Column, distance: int) -> DataFrame:
+    """Stored rows ``marked`` (mark and others) with the smallest ``value`` of each one's class as component.
 
-    Texts without words have fingerprint zero and link like others. A missing key is larger than all others: it is
-    a component's id only if no row of the component has one. Repeated rows are rows of the result too.
+    _shared is true; both are missing for a row that is alone in its class.
     """
-    marked = written_once(docs.select(F.col(key).alias("key"), fingerprint_column(F.col(text)).alias("mark")))
-    marks = written_once(marked.groupBy("mark").agg(F.min("key").alias("least"), F.count("*").alias("n")))
+    marks = written_once(marked.groupBy("mark").agg(F.min(value).alias("least"), F.count("*").alias("n")))
     roots = components(link_fingerprints(marks.select("mark"), distance))
     joined = marks.join(roots.withColumnRenamed("node", "mark"), "mark", "left").select(
         "mark", "least", "n", F.coalesce("root", "mark").alias("root"), F.col("root").isNotNull().alias("linked"))
@@ -215,23 +213,38 @@ def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", distance
     # only fingerprints of several rows or with links need a lookup; the rest are their own component
     shared = joined.filter("linked or n > 1").join(ids, "root", "left").select(
         "mark", F.coalesce("component", "least").alias("component"), F.lit(True).alias("_shared"))
-    rows = lookup_join(marked, written_once(shared), "mark")
+    return lookup_join(marked, written_once(shared), "mark")
+
+
+def clustered(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+    """Stored key, mark (fingerprint as long) and component (smallest key reachable) of every row of ``docs``.
+
+    Texts without words have fingerprint zero and link like others. A missing key is larger than all others: it is
+    a component's id only if no row of the component has one. Repeated rows are rows of the result too.
+    """
+    marked = written_once(docs.select(F.col(key).alias("key"), fingerprint_column(F.col(text)).alias("mark")))
+    rows = _reached(marked, F.col("key"), distance)
     return rows.select("key", "mark", F.when(F.col("_shared"), F.col("component")).otherwise(F.col("key")).alias("component"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
     """One row of ``docs`` for each near-duplicate class: that with the smallest key, with all its columns.
 
-    A key stands for a document: rows that share one count as one, of which one row stays, and all of them go if one is
-    a copy of a smaller key. A class in which every key is missing keeps one row.
+    Rows are told apart by key and text: rows that share a key, or have none, are copies only if their texts are
+    linked. Missing keys come last; rows of one class and key go by the hash of their texts.
     """
-    classes = clustered(docs, key, text, distance)
-    keys = F.col("key").eqNullSafe(F.col("component"))
-    gone = written_once(classes.filter(~keys).select("key").distinct())
-    left = docs.join(gone, docs[key].eqNullSafe(gone["key"]), "left_anti")
-    # only a table that repeats a key needs a look for rows that share it
-    repeated = classes.groupBy("key").count().filter("count > 1").limit(1).count()
-    return left.dropDuplicates([key]) if repeated else left
+    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    marked = written_once(docs.select(
+        F.col(key).alias("key"), fingerprint_column(F.col(text)).alias("mark"), hashed.alias("sum")))
+    own = F.struct(F.col("key").isNull().alias("missing"), F.col("key").alias("key"), F.col("sum").alias("sum"))
+    shared = _reached(marked, own, distance).filter("_shared")
+    first = F.col("key").eqNullSafe(F.col("component.key")) & (F.col("sum") == F.col("component.sum"))
+    gone = written_once(shared.filter(~first).select(F.col("key").alias("_key"), F.col("sum").alias("_sum")).distinct())
+    left = docs.withColumn("_text_sum", hashed)
+    left = left.join(gone, left[key].eqNullSafe(gone["_key"]) & (left["_text_sum"] == gone["_sum"]), "left_anti")
+    # only a table that repeats a row's key and text needs a look for such rows
+    repeated = marked.groupBy("key", "sum").count().filter("count > 1").limit(1).count()
+    return (left.dropDuplicates([key, "_text_sum"]) if repeated else left).drop("_text_sum")
 
 
 def hex_mark(mark: Column) -> Column:

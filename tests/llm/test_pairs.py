@@ -177,6 +177,27 @@ def test_one_of_each_keeps_columns(docs, no_docs):
     assert simhash.one_of_each(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("key_type", ["long", "string"])
+def test_one_of_each_tells_rows_of_one_key_apart(spark, key_type):
+    """Null and repeated keys with different texts, copies among them, and rows repeated as they are."""
+    rng = random.Random(5)
+    text = [" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(12)]
+    data = [(1, text[0]), (None, text[0]), (None, text[1]), (None, text[2]), (None, text[2]), (7, text[3]), (7, text[4]),
+            (7, text[5]), (3, text[5]), (8, text[6]), (8, text[6]), (None, text[7].upper()), (None, text[7]), (9, text[8]),
+            (2, None), (None, ""), (7, text[0])]
+    data = [(k if k is None or key_type == "long" else str(k), t) for k, t in data]
+    docs = spark.createDataFrame(data, f"doc_id {key_type}, text string").repartition(3)
+    classes = {}
+    for k, t in data:
+        classes.setdefault(simhash.fingerprint(t), []).append((k is None, k or 0, t))
+    kept = simhash.one_of_each(docs)
+    found = [(r.doc_id is None, r.doc_id or 0, r.text) for r in kept.collect()]
+    assert kept.columns == docs.columns and len(found) == len(classes) == 10
+    for mark, members in classes.items():
+        mine = [f for f in found if simhash.fingerprint(f[2]) == mark]
+        assert len(mine) == 1 and mine[0] in members and mine[0][:2] == min(m[:2] for m in members)
+
+
 def test_components_of_chains_and_cycles(spark):
     chain = [(k, k + 1) for k in range(60)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     random.Random(1).shuffle(chain)
