@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.barrier import computed_once
 from ..session import pin_utc
-from . import knn_quality, licenses, maxent, mixing, quality_rules, simhash, token_counts, toxicity, warc, winnowing
+from . import (
+    byte_bpe, knn_quality, licenses, maxent, mixing, quality_rules, simhash, token_counts, toxicity, warc, winnowing,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 TOKEN_LIMIT = 4096
 TOKENIZER = "piece_bpe_32k.model"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def query(fn: Query) -> Query:
@@ -96,3 +100,16 @@ def op3_toxicity(spark, sf_dir):
 def op2_language_model(spark, sf_dir):
     """Probability of every document under a maximum-entropy model and under unigrams."""
     return maxent.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_byte_bpe(spark, sf_dir):
+    """Ids of every document by the ranks of a public byte-level vocabulary, and what they decode to."""
+    import public_tokenizers
+
+    bpe = byte_bpe.ByteBpe(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text")).alias("ids"))
+    # the ids pass a barrier, or they would be worked out again for every use
+    coded = computed_once(docs, ids=F.col("ids")).select("doc_id", "ids", bpe.decode(F.col("ids")).alias("bytes"))
+    return coded.select("doc_id", bpe.count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("bytes", 256).alias("decoded_sha256"))

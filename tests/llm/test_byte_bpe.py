@@ -1,0 +1,78 @@
+"""Byte-level BPE against the library on whole texts, and the round trip."""
+
+import hashlib
+import random
+import struct
+
+import public_tokenizers
+import pytest
+from llm_fixtures import docs, no_docs  # noqa: F401
+from pyspark.sql import functions as F
+
+from sessionloom.llm import byte_bpe
+from sessionloom.llm.queries import QUERIES, RANKS
+
+ODD = ["", " ", "a  b", "it's we'll I'M", "x　y  z\x1c!\x1f ?", "tab\t\ttab \n\n end  ", "<|endoftext|> is text",
+       "日本語の文章。次の文、です！", "Ünïcödé … “quotes” — 1234567", "​zero thin", "é combining", "👩‍👩‍👧 emoji 🇩🇪",
+       "a\x00b", "   lead", "trail   ", "\r\n\r\n", "ab" * 400 + "12" * 300 + "!?" * 300]
+
+
+@pytest.fixture(scope="module")
+def codec():
+    with open(public_tokenizers.path(RANKS), "rb") as file:
+        return byte_bpe.Codec(file.read(), public_tokenizers.PATTERN)
+
+
+def ids_of(binary):
+    return list(struct.unpack(f"<{len(binary) // 4}I", binary))
+
+
+def test_pieces_give_the_ids_of_the_whole_text(codec, monkeypatch):
+    rng = random.Random(3)
+    parts = [*ODD, "word", " word", "  ", "\n", "'s", "7", "!", "é", "字"]
+    texts = ODD + ["".join(rng.choices(parts, k=40)) for _ in range(150)]
+    monkeypatch.setattr(byte_bpe, "LONG_BLANK", 2)
+    monkeypatch.setattr(byte_bpe, "_BLANK", byte_bpe.re.compile(f"[{byte_bpe.WHITE}]{{2,}}"))
+    for text in texts:
+        pieces = list(byte_bpe.pieces_of(text, 7))
+        assert "".join(pieces) == text
+        whole = codec.library.encode_ordinary(text)
+        assert [i for p in pieces for ids in codec._ids(p) for i in ids] == whole
+        assert codec.decode(codec.encode(text)) == text.encode()
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000 + "end", "x" + "\n" * 2_000_000, "国" * 300_000, "word " * 200_000])
+def test_texts_beyond_the_library_come_back(codec, text):
+    assert codec.decode(codec.encode(text)) == text.encode()
+
+
+def test_a_long_run_of_blanks_is_merged_as_the_library_does(codec):
+    for text in ("a" + " " * 40_000 + "b", "\t" * 33_000, " " * 33_000 + "\n", "a b" + " " * 70_000):
+        assert ids_of(codec.encode(text)) == codec.library.encode_ordinary(text)
+
+
+def test_columns(spark, docs, no_docs, codec):  # noqa: F811
+    bpe = byte_bpe.ByteBpe(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    ids = bpe.encode(F.col("text"))
+    rows = docs.select("doc_id", "text", ids.alias("ids"), bpe.count(ids).alias("n"), bpe.decode(ids).alias("bytes")).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert ids_of(r.ids) == codec.library.encode_ordinary(r.text or "") and r.n * 4 == len(r.ids)
+        assert bytes(r.bytes) == (r.text or "").encode()
+    assert no_docs.select(ids.alias("i")).count() == 0
+
+
+def test_ids_that_are_none(spark):
+    bpe = byte_bpe.ByteBpe(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    df = spark.createDataFrame([(None,), (bytearray(b"\1\0\0"),), (bytearray(b"\xff\xff\xff\x7f"),), (bytearray(b""),)], "ids binary")
+    assert [r.b for r in df.select(bpe.decode(F.col("ids")).alias("b")).collect()] == [None, None, None, b""]
+
+
+def test_query_equals_the_library(spark, sf_dir, codec):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = QUERIES["op11_byte_bpe"](spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = codec.library.encode_ordinary(texts[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
