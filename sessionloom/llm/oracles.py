@@ -91,3 +91,49 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id IS DISTINCT FROM owner THEN owner END AS refers_to, true AS intact
 FROM p JOIN o USING (hex)
 """
+
+# integers throughout; every anchor meets every row
+ORACLES["op12_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+# every run of one to five words of every piece, counted as text
+ORACLES["op13_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+t AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+inner_parts AS (SELECT lang, a, unnest(list_distinct(flatten(list_transform(range(1, k), lambda m:
+                  list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' ')))))) AS phrase FROM c),
+covered AS (SELECT lang, phrase, max(a) AS around FROM inner_parts GROUP BY ALL),
+kept AS (SELECT c.* FROM c LEFT JOIN covered USING (lang, phrase) WHERE around IS NULL OR 100 * around < 100 * a),
+cuts AS (SELECT lang, phrase, a, w, unnest(range(1, k)) AS j FROM kept),
+sized AS (SELECT cuts.lang, cuts.phrase, a, j, l.f AS l, r.f AS r, n,
+                 CAST(CAST(1000 AS HUGEINT) * a * n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+          FROM cuts JOIN t USING (lang)
+          JOIN f l ON l.lang = cuts.lang AND l.phrase = array_to_string(cuts.w[1:j], ' ')
+          JOIN f r ON r.lang = cuts.lang AND r.phrase = array_to_string(cuts.w[j + 1:], ' ')),
+best AS (SELECT * FROM sized QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+"""

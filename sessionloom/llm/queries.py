@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.barrier import computed_once
 from ..session import pin_utc
 from . import (
-    byte_bpe, knn_quality, licenses, maxent, mixing, quality_rules, simhash, token_counts, toxicity, warc, winnowing,
+    byte_bpe, collocations, hard_negatives, knn_quality, licenses, maxent, mixing, quality_rules, simhash, token_counts,
+    toxicity, warc, winnowing,
 )
 from .common import table
 
@@ -113,3 +114,15 @@ def op11_byte_bpe(spark, sf_dir):
     coded = computed_once(docs, ids=F.col("ids")).select("doc_id", "ids", bpe.decode(F.col("ids")).alias("bytes"))
     return coded.select("doc_id", bpe.count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    """The phrases of every language whose words attract each other most."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark, sf_dir):
+    """Rows of other labels that score close below an anchor's positives."""
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
