@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.barrier import computed_once
 from ..session import pin_utc
 from . import (
     byte_bpe, collocations, hard_negatives, knn_quality, licenses, maxent, mixing, quality_rules, simhash, token_counts,
@@ -109,11 +108,9 @@ def op11_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
     bpe = byte_bpe.ByteBpe(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text")).alias("ids"))
-    # the ids pass a barrier, or they would be worked out again for every use
-    coded = computed_once(docs, ids=F.col("ids")).select("doc_id", "ids", bpe.decode(F.col("ids")).alias("bytes"))
-    return coded.select("doc_id", bpe.count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-                        F.sha2("bytes", 256).alias("decoded_sha256"))
+    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.coded(F.col("text")).alias("c"))
+    return coded.select("doc_id", bpe.count(F.col("c.ids")).alias("n_tokens"), F.sha2("c.ids", 256).alias("ids_sha256"),
+                        F.sha2("c.bytes", 256).alias("decoded_sha256"))
 
 
 @query

@@ -54,11 +54,12 @@ def test_a_long_run_of_blanks_is_merged_as_the_library_does(codec):
 def test_columns(spark, docs, no_docs, codec):  # noqa: F811
     bpe = byte_bpe.ByteBpe(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     ids = bpe.encode(F.col("text"))
-    rows = docs.select("doc_id", "text", ids.alias("ids"), bpe.count(ids).alias("n"), bpe.decode(ids).alias("bytes")).collect()
+    rows = docs.select("doc_id", "text", ids.alias("ids"), bpe.count(ids).alias("n"), bpe.decode(ids).alias("bytes"),
+                       bpe.coded(F.col("text")).alias("c")).collect()
     assert len(rows) == docs.count()
     for r in rows:
         assert ids_of(r.ids) == codec.library.encode_ordinary(r.text or "") and r.n * 4 == len(r.ids)
-        assert bytes(r.bytes) == (r.text or "").encode()
+        assert bytes(r.bytes) == (r.text or "").encode() and (r.c.ids, r.c.bytes) == (r.ids, r.bytes)
     assert no_docs.select(ids.alias("i")).count() == 0
 
 
