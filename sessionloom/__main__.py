@@ -1,4 +1,4 @@
-"""Command line: ``python -m sessionloom etl|daily|flow|events|bad-records|landing …`` (or through spark-submit)."""
+"""Command line: ``python -m sessionloom etl|daily|visits|repair|flow|sessions|events|bad-records|landing …`` (or through spark-submit)."""
 
 from __future__ import annotations
 
@@ -6,12 +6,14 @@ import argparse
 
 from .plans.daily import run_daily
 from .plans.etl import run_etl
+from .plans.visits import run_first_visits, run_sessions
 from .session import build_session
 from .sources.ip_rules import read_ip_rules
 from .sources.streams import kafka_lines, text_lines
 from .streaming.events import start_bad_records, start_event_load
-from .streaming.flow import start_flow
+from .streaming.flow import OPEN_DAYS, repair_flow, start_flow
 from .streaming.landing import start_landing
+from .streaming.sessions import start_sessions
 from .streaming.start import FLOW_EVERY
 
 
@@ -27,8 +29,15 @@ def main(argv: list[str] | None = None) -> None:
     daily = jobs.add_parser("daily", help="write the facts of one day")
     daily.add_argument("date")
     daily.add_argument("--warehouse", required=True)
+    visits = jobs.add_parser("visits", help="write the sessions that ended on a day and its new users")
+    visits.add_argument("date")
+    visits.add_argument("--warehouse", required=True)
+    repair = jobs.add_parser("repair", help="build closed days of the live flow anew where late events came")
+    repair.add_argument("--warehouse", required=True)
+    repair.add_argument("--open-days", type=int, default=OPEN_DAYS)
     live = {
         "flow": "keep the flow per place up to date from a stream of log lines",
+        "sessions": "keep the sessions of users right, however late a line comes",
         "events": "append events from a stream of log lines to the event store",
         "bad-records": "store the lines of a stream that cannot become events, with the reason",
         "landing": "store the lines of a stream as they are, by the hour they came in",
@@ -53,6 +62,12 @@ def main(argv: list[str] | None = None) -> None:
         run_etl(spark, args.date, args.logs, args.ip_rules, args.warehouse, args.landed)
     elif args.job == "daily":
         run_daily(spark, args.date, args.warehouse)
+    elif args.job == "visits":
+        run_sessions(spark, args.date, args.warehouse)
+        run_first_visits(spark, args.date, args.warehouse)
+    elif args.job == "repair":
+        for note in repair_flow(spark, f"{args.warehouse}/flow_log", args.warehouse, args.open_days):
+            print({k: note[k] for k in ("day", "live", "counted", "dropped")})
     else:
         lines = text_lines(spark, args.path) if args.path else kafka_lines(
             spark, args.servers, args.topics, reset=args.reset, max_offsets_per_trigger=args.max_offsets)
@@ -63,6 +78,8 @@ def main(argv: list[str] | None = None) -> None:
         elif args.job == "events":
             query = start_event_load(lines, read_ip_rules(spark, args.ip_rules), f"{args.warehouse}/events",
                                      args.checkpoint, every)
+        elif args.job == "sessions":
+            query = start_sessions(lines, f"{args.warehouse}/live_sessions", args.checkpoint, every=every)
         elif args.job == "bad-records":
             query = start_bad_records(lines, f"{args.warehouse}/bad_lines", args.checkpoint, every)
         else:

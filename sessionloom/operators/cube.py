@@ -14,4 +14,4 @@ def event_cube(events: DataFrame) -> DataFrame:
     """Counted once at the finest level; only those few rows are copied to the totals."""
     finest = events.groupBy(event_date(F.col("access_time")).alias("dt"), "pl", "en").agg(F.count("*").alias("n"))
     return fan_out(finest, ["pl", "en"], LEVELS).groupBy("dt", "pl", "en", LEVEL).agg(
-        F.sum("n").alias("event_count")).drop(LEVEL)
+        F.sum("n").alias("event_count"))

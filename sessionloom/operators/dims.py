@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import date_parts
+from ..session import written_once
 
 # --- fixed values: natural keys of the dimension tables ------------------------
 DATE_KEY = ["year", "season", "month", "week", "day", "calendar", "type"]
@@ -31,36 +32,37 @@ def _same(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in key])
 
 
-def assign_ids(keys: DataFrame, key: Sequence[str], start: int | Column = 0) -> DataFrame:
+# places of a row within a partition, in a number that begins with the partition's
+_ROW_BITS = 33
+
+
+def assign_ids(keys: DataFrame, key: Sequence[str], start: int = 0) -> DataFrame:
     """Number distinct keys from ``start`` + 1 in key order, NULL first.
 
-    Ranked within a leading part of the key, then moved up by the sizes of the
-    parts before it: only one row per part passes through the single window task.
+    The keys are sorted over range partitions and stored once, each with its partition and place there. An id is the
+    place moved up by the sizes of the partitions before, which are one number each; no task sees all keys.
     """
-    if len(key) > 1:
-        part = {f"_p{i}": F.col(c) for i, c in enumerate(key[:-1])}
-    else:
-        part = {"_p0": F.substring(F.col(key[0]).cast("string"), 1, 2)}
-    parted = keys.select(*key, *[c.alias(p) for p, c in part.items()])
+    spark = keys.sparkSession
     order = [F.asc_nulls_first(c) for c in key]
-    ranked = parted.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-    running = Window.orderBy(*[F.asc_nulls_first(p) for p in part]).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = parted.groupBy(*part).agg(F.count("*").alias("_size"))
-    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(running), F.lit(0)))
-    offsets = offsets.select(*[F.col(p).alias("o" + p) for p in part], "_before")
-    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col("o" + p)) for p in part])
-    first = start if isinstance(start, Column) else F.lit(start)
-    number = (first + F.col("_before") + F.col("_rn")).cast("int")
-    return ranked.join(offsets, same).select(number.alias("id"), *key)
-
-
-def new_dimension_rows(existing: DataFrame, wanted: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows to append to ``existing`` so that every wanted key has an id.
-
-    Ids go on after the largest one in use. A rerun with the same keys gives no rows.
+    placed = written_once(keys.select(*key).orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", _ROW_BITS)
+    sizes = {r.part: r.n for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
+    before, rows = start, []
+    for p in sorted(sizes):
+        rows.append((p, before))
+        before += sizes[p]
+    offsets = spark.createDataFrame(rows, "_part bigint, _before bigint")
+    row = F.col("_at") - F.shiftleft("_part", _ROW_BITS)
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return numbered.select((F.col("_before") + row + 1).alias("id"), *key)
+
+
+def new_dimension_rows(existing: DataFrame, wanted: DataFrame, key: Sequence[str], top: int) -> DataFrame:
+    """Rows to append to ``existing`` so that every wanted key has an id; the largest id in use is ``top``.
+
+    A rerun with the same keys gives no rows.
     """
     unseen = wanted.select(*key).distinct().join(existing, _same(wanted, existing, key), "left_anti")
-    top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
     return assign_ids(unseen, key, top)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schemas import REGION_COLUMNS, UNKNOWN
@@ -9,8 +11,11 @@ from ..session import written_once
 
 SLICE_BITS = 16
 MAX_IP = (1 << 32) - 1
-BROADCAST_ROWS = 2_000_000
+# most bytes of rule slices that are broadcast, and what a slice takes besides its texts
+BROADCAST_BYTES, SLICE_BYTES = 64 << 20, 96
 HOT_SHARE = 1_000
+# copies of each slice that meet the rows of a stream, against hot addresses
+SALTS = 16
 
 
 def slice_rules(rules: DataFrame) -> DataFrame:
@@ -24,9 +29,11 @@ def slice_rules(rules: DataFrame) -> DataFrame:
     )
 
 
-def count_slices(rules: DataFrame) -> int:
+def slice_bytes(rules: DataFrame) -> int:
+    """Generous bytes of all slices, by arithmetic on the rules."""
     touched = F.shiftright("end_ip", SLICE_BITS) - F.shiftright("start_ip", SLICE_BITS) + 1
-    return rules.agg(F.sum(touched).alias("n")).first()["n"] or 0
+    texts = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in REGION_COLUMNS), F.lit(SLICE_BYTES))
+    return rules.agg(F.sum(touched * texts).alias("n")).first()["n"] or 0
 
 
 def check_rules(rules: DataFrame) -> None:
@@ -46,27 +53,44 @@ def check_rules(rules: DataFrame) -> None:
         raise ValueError(f"overlapping ip rules at {overlap.first()}")
 
 
+@dataclass
+class RegionRules:
+    """Rules ready for many look-ups: their slices and the bytes of these."""
+
+    slices: DataFrame
+    bytes: int
+
+
+def _slices(rules: DataFrame) -> DataFrame:
+    return slice_rules(rules).select(
+        "ip_slice", "start_ip", "end_ip", *[F.col(c).alias("rule_" + c) for c in REGION_COLUMNS]
+    )
+
+
+def region_rules(rules: DataFrame) -> RegionRules:
+    """Slices stored once, for the micro-batches of a stream."""
+    return RegionRules(written_once(_slices(rules)), slice_bytes(rules))
+
+
 def resolve_regions(
     events: DataFrame,
-    rules: DataFrame,
+    rules: DataFrame | RegionRules,
     ip_num: str = "ip_num",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add country, province, city; columns already set in ``events`` win, misses are ``unknown``.
 
-    The slices are counted first, by arithmetic on the rules. Up to ``broadcast_rows`` they are
-    broadcast and events are not shuffled at all; beyond it ``_resolve_by_shuffle``.
+    The bytes of the slices are measured first. Up to ``broadcast_bytes`` they are broadcast and events are not shuffled
+    at all. Beyond it distinct addresses are looked up (``_resolve_by_shuffle``), in a batch as in the micro-batches of a
+    ``foreachBatch``; rows of a streaming plan, which can be read only once, meet salted copies of the slices. The answer is the same.
     """
-    slices = slice_rules(rules).select(
-        "ip_slice", "start_ip", "end_ip", *[F.col(c).alias("rule_" + c) for c in REGION_COLUMNS]
-    )
-    # a stream always takes the map-side join, so its rule set must stay within the bound
-    if count_slices(rules) <= broadcast_rows:
-        joined = _range_join(events, F.broadcast(slices), ip_num)
+    known = rules if isinstance(rules, RegionRules) else RegionRules(_slices(rules), slice_bytes(rules))
+    if known.bytes <= broadcast_bytes:
+        joined = _range_join(events, F.broadcast(known.slices), ip_num)
     elif events.isStreaming:
-        raise ValueError(f"more than {broadcast_rows} rule slices: raise broadcast_rows for a stream")
+        joined = _resolve_salted(events, known.slices, ip_num)
     else:
-        joined = _resolve_by_shuffle(events, slices, ip_num)
+        joined = _resolve_by_shuffle(events, known.slices, ip_num)
     given = set(events.columns)
     regions = [
         F.coalesce(*([F.col(c)] if c in given else []), F.col("rule_" + c), F.lit(UNKNOWN)).alias(c)
@@ -75,13 +99,20 @@ def resolve_regions(
     return joined.select(*[c for c in events.columns if c not in REGION_COLUMNS], *regions)
 
 
-def _range_join(left: DataFrame, slices: DataFrame, ip_num: str) -> DataFrame:
+def _range_join(left: DataFrame, slices: DataFrame, ip_num: str, *more: str) -> DataFrame:
     ip = F.col(ip_num)
-    return left.join(
-        slices,
-        (F.shiftright(ip, SLICE_BITS) == F.col("ip_slice")) & ip.between(F.col("start_ip"), F.col("end_ip")),
-        "left",
-    ).drop("ip_slice", "start_ip", "end_ip")
+    same = (F.shiftright(ip, SLICE_BITS) == F.col("ip_slice")) & ip.between(F.col("start_ip"), F.col("end_ip"))
+    for c in more:
+        same &= F.col(c) == F.col("s" + c)
+    return left.join(slices, same, "left").drop("ip_slice", "start_ip", "end_ip", *more, *["s" + c for c in more])
+
+
+def _resolve_salted(events: DataFrame, slices: DataFrame, ip_num: str) -> DataFrame:
+    """Join of a stream with all slices, dealt out by slice and salt, so that a hot address spreads over ``SALTS`` tasks."""
+    salted = events.withColumn("_salt", F.pmod(F.xxhash64(*[c for c, kind in events.dtypes if not kind.startswith("map")]),
+                                               F.lit(SALTS)).cast("int"))
+    copies = slices.withColumn("s_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return _range_join(salted, copies, ip_num, "_salt")
 
 
 def _resolve_by_shuffle(events: DataFrame, slices: DataFrame, ip_num: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.packed import pack_fields
 from ..functions.ratios import ratio2
 from ..schemas import ALL
+from .rollup import LEVEL
 
 # --- fixed values: bucket names, packed names and inclusive bounds ------------
 TIME_BUCKETS = {
@@ -37,12 +38,12 @@ def session_metrics(grain: DataFrame) -> DataFrame:
     return (
         grain.groupingSets([("dt", "sid"), ("dt", "pl", "sid")], "dt", "pl", "sid")
         .agg(
-            F.grouping("pl").alias("rolled"),
+            F.grouping("pl").cast("int").alias(LEVEL),
             F.call_function("div", F.max("max_ts") - F.min("min_ts"), F.lit(1000)).alias("length_s"),
             F.sum("n_view").alias("steps"),
         )
-        # a total and a platform that is called like its label stay apart by ``rolled``
-        .select("dt", F.when(F.col("rolled") == 1, ALL).otherwise(F.col("pl")).alias("pl"), "rolled", "sid",
+        # a total and a platform that is called like its label stay apart by their level
+        .select("dt", F.when(F.col(LEVEL) == 1, ALL).otherwise(F.col("pl")).alias("pl"), LEVEL, "sid",
                 "length_s", "steps")
     )
 
@@ -54,7 +55,7 @@ def _within(value: str, low: int, high: int | None):
 
 def session_histogram(metrics: DataFrame) -> DataFrame:
     """Sessions per length and depth bucket; a session without views is in no depth bucket."""
-    return metrics.groupBy("dt", "pl", "rolled").agg(
+    return metrics.groupBy("dt", "pl", LEVEL).agg(
         F.count("*").alias("session_count"),
         *[F.count_if(_within("length_s", lo, hi)).alias(c) for c, (_, lo, hi) in TIME_BUCKETS.items()],
         *[F.count_if(_within("steps", lo, hi)).alias(c) for c, (_, lo, hi) in STEP_BUCKETS.items()],
@@ -63,14 +64,14 @@ def session_histogram(metrics: DataFrame) -> DataFrame:
 
 def histogram_ratios(histogram: DataFrame) -> DataFrame:
     return histogram.select(
-        "dt", "pl", "session_count", *[ratio2(F.col(c), F.col("session_count")).alias(c) for c in BUCKETS]
+        "dt", "pl", LEVEL, "session_count", *[ratio2(F.col(c), F.col("session_count")).alias(c) for c in BUCKETS]
     )
 
 
 def histogram_packed(histogram: DataFrame) -> DataFrame:
     """The histogram as one ``name=count|…`` text per day and platform."""
     fields = {"session_count": F.col("session_count"), **{name: F.col(c) for c, (name, _, _) in BUCKETS.items()}}
-    return histogram.select("dt", "pl", pack_fields(fields).alias("packed"))
+    return histogram.select("dt", "pl", LEVEL, pack_fields(fields).alias("packed"))
 
 
 def session_aggr_stat(grain: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .rollup import member_rollup
+from .rollup import LEVEL, member_rollup
 
 LEVELS = [["pl"], []]
 
@@ -16,6 +16,7 @@ def stats_user(grain: DataFrame, views: str = "product") -> DataFrame:
     return member_rollup(grain, ["pl"], LEVELS).select(
         "dt",
         "pl",
+        LEVEL,
         F.col("users").alias("active_users"),
         F.col("n_launch").alias("new_install_users"),
         F.col("sessions").alias("session_count"),

@@ -10,14 +10,14 @@ from ..functions import dates, ip, packed, text
 from ..operators import (
     cube, dedup, dims, grain, locations, parse, products, regions, sessions, upsert, users, visits, wordcount,
 )
-from ..operators.rollup import fan_out
+from ..operators.rollup import LEVEL, fan_out
 from ..schemas import ALL
-from ..session import pin_utc, written_once
-from ..sources import derived
-from ..sources.event_table import day_slice
+from ..session import fresh_dir, pin_utc, written_once
+from ..sinks import event_store
+from ..sources import derived, event_table
 from ..sources.ip_rules import rule_columns
 from . import facts
-from .etl import located_events
+from .etl import located_events, stored_columns
 from .sql_reports import area_top3_product_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,15 +83,34 @@ def ip_region(spark, sf_dir):
     return w.select("event_id", "ip", "country", "province", "city")
 
 
+@query
+def ip_region_wide(spark, sf_dir):
+    """Rules over several slices each, broadcast."""
+    v = derived.visits(spark, sf_dir).select("event_id", "ip_num")
+    return regions.resolve_regions(v, derived.wide_ip_rules(spark, sf_dir)).drop("ip_num")
+
+
+@query
+def ip_region_by_shuffle(spark, sf_dir):
+    """The same beyond the limit of a broadcast: distinct addresses meet the rules."""
+    v = derived.visits(spark, sf_dir).select("event_id", "ip_num")
+    return regions.resolve_regions(v, derived.wide_ip_rules(spark, sf_dir), broadcast_bytes=0).drop("ip_num")
+
+
 @query
 def event_day_scan(spark, sf_dir):
-    day = day_slice(derived.weblog(spark, sf_dir), "2024-01-15")
+    """All events into a store as two loads, and one day read from it."""
+    events = derived.stored_events(spark, sf_dir)
+    base = fresh_dir(spark, "events")
+    for k in range(2):
+        event_store.replace_load(stored_columns(events.filter(F.col("event_id") % 2 == k)), base, "etl", f"half-{k}")
+    day = event_table.read_event_day(spark, base, "2024-01-15")
     return day.select("uid", "sid", "access_time", "en", "country", "province", "city", "pl", "pid")
 
 
 @query
 def event_dedup(spark, sf_dir):
-    rows = dedup.dedup_events(derived.weblog_dup(spark, sf_dir), F.desc("ingest_seq"))
+    rows = dedup.dedup_events(derived.weblog_dup(spark, sf_dir))
     return rows.select("access_time", "uid", "en", "sid", "pl", "pid", "ip", "ingest_seq")
 
 
@@ -153,12 +172,12 @@ def session_grain(spark, sf_dir):
 
 @query
 def session_metrics(spark, sf_dir):
-    return _text_date(sessions.session_metrics(_grain(spark, sf_dir))).drop("rolled")
+    return _text_date(sessions.session_metrics(_grain(spark, sf_dir)))
 
 
 @query
 def session_hist(spark, sf_dir):
-    return _text_date(sessions.session_histogram(sessions.session_metrics(_grain(spark, sf_dir)))).drop("rolled")
+    return _text_date(sessions.session_histogram(sessions.session_metrics(_grain(spark, sf_dir))))
 
 
 @query
@@ -179,7 +198,7 @@ def packed_fields(spark, sf_dir):
     texts = sessions.histogram_packed(hist).withColumn("packed", packed.set_field(F.col("packed"), "60", F.lit(-1)))
     fields = packed.unpack_fields(F.col("packed"))
     return _text_date(texts.select(
-        "dt", "pl",
+        "dt", "pl", LEVEL,
         packed.get_field(F.col("packed"), "session_count").cast("bigint").alias("session_count"),
         packed.get_field(F.col("packed"), "60").cast("bigint").alias("step_60"),
         *[F.element_at(fields, F.lit(name)).cast("bigint").alias(column)
@@ -209,7 +228,7 @@ def location_flow(spark, sf_dir):
 
 @query
 def event_cube(spark, sf_dir):
-    return _text_date(cube.event_cube(derived.visits(spark, sf_dir)))
+    return _text_date(cube.event_cube(derived.weblog(spark, sf_dir)))
 
 
 # --- products ------------------------------------------------------------------

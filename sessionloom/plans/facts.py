@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.dims import (
     DATE_KEY, LOCATION_KEY, PLATFORM_KEY, date_dimension, with_dimension_id,
 )
+from ..operators.rollup import LEVEL
 from ..operators.sessions import BUCKETS
 from ..schemas import ALL
 from ..sinks.tables import refresh_dimension
@@ -54,20 +55,20 @@ def _located(df: DataFrame, dims: Dimensions, city="city") -> DataFrame:
 
 def session_aggr_fact(stat: DataFrame, dims: Dimensions) -> DataFrame:
     return _on_platform(_dated(stat, dims), dims).select(
-        "date_dimension_id", "platform_dimension_id", "session_count", *BUCKETS
+        "date_dimension_id", "platform_dimension_id", LEVEL, "session_count", *BUCKETS
     )
 
 
 def user_fact(stat: DataFrame, dims: Dimensions) -> DataFrame:
     return _on_platform(_dated(stat, dims), dims).select(
-        "date_dimension_id", "platform_dimension_id", "active_users", "new_install_users",
+        "date_dimension_id", "platform_dimension_id", LEVEL, "active_users", "new_install_users",
         "session_count", "session_length", "created",
     )
 
 
 def device_location_fact(stat: DataFrame, dims: Dimensions) -> DataFrame:
     return _located(_on_platform(_dated(stat, dims), dims), dims).select(
-        "date_dimension_id", "platform_dimension_id", "location_dimension_id",
+        "date_dimension_id", "platform_dimension_id", "location_dimension_id", LEVEL,
         "active_users", "session_count", "bounce_sessions", "created",
     )
 
@@ -83,5 +84,5 @@ def top_product_fact(top: DataFrame, dims: Dimensions) -> DataFrame:
 
 def flow_fact(flow: DataFrame, dims: Dimensions) -> DataFrame:
     return _located(_dated(flow, dims), dims).select(
-        "date_dimension_id", "location_dimension_id", "nu", "uv", "pv", "sn", "on", "created"
+        "date_dimension_id", "location_dimension_id", LEVEL, "nu", "uv", "pv", "sn", "on", "created"
     )

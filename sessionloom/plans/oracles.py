@@ -54,10 +54,18 @@ rules AS (
 
 WEBLOG = f"""
 {VISITS}, {RULES},
-weblog AS (
+located AS (
     SELECT a.*, coalesce(r.country, 'unknown') AS country, coalesce(r.province, 'unknown') AS province,
            coalesce(r.city, 'unknown') AS city
-    FROM addressed a LEFT JOIN rules r ON a.ip_num BETWEEN r.start_ip AND r.end_ip)
+    FROM addressed a LEFT JOIN rules r ON a.ip_num BETWEEN r.start_ip AND r.end_ip),
+weblog AS (
+    SELECT * REPLACE (
+        CASE WHEN event_id % 97 = 0 THEN 'all' WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'pc'
+             ELSE pl END AS pl,
+        CASE WHEN event_id % 83 <> 0 THEN uid END AS uid, CASE WHEN event_id % 79 <> 0 THEN sid END AS sid,
+        CASE WHEN event_id % 101 = 0 THEN 'all' ELSE province END AS province,
+        CASE WHEN event_id % 101 = 0 THEN 'all' ELSE city END AS city)
+    FROM located)
 """
 
 # what a correct parser makes of the raw lines, by kind of line
@@ -68,7 +76,7 @@ parsed AS (
            CASE WHEN event_id % 50 = 12 THEN 'café au lait' END AS tt,
            4 + CASE WHEN pid IS NULL THEN 0 ELSE 1 END
              + CASE WHEN event_id % 50 IN (7, 12) THEN 1 ELSE 0 END AS n_params
-    FROM weblog WHERE event_id % 50 NOT IN (2, 3, 5, 8, 9, 11))
+    FROM located WHERE event_id % 50 NOT IN (2, 3, 5, 8, 9, 11))
 """
 
 GRAIN = f"""
@@ -80,19 +88,15 @@ grain AS (
     FROM weblog GROUP BY ALL)
 """
 
-PLATFORM_COPIES = """
-copies AS (
-    SELECT dt, pl, uid, sid, en, access_time FROM weblog
-    UNION ALL
-    SELECT dt, 'all', uid, sid, en, access_time FROM weblog)
-"""
+# a total is told by GROUPING(), not by its label
+PL = "CASE WHEN GROUPING(pl) = 1 THEN 'all' ELSE pl END AS pl, CAST(GROUPING(pl) AS INTEGER) AS level"
 
 METRICS = f"""
-{WEBLOG}, {PLATFORM_COPIES},
+{WEBLOG},
 metrics AS (
-    SELECT dt, pl, sid, (max(access_time) - min(access_time)) // 1000 AS length_s,
+    SELECT dt, {PL}, sid, (max(access_time) - min(access_time)) // 1000 AS length_s,
            count(*) FILTER (en IN ('e_pv', 'e_bp')) AS steps
-    FROM copies GROUP BY dt, pl, sid)
+    FROM weblog GROUP BY GROUPING SETS ((dt, pl, sid), (dt, sid)))
 """
 
 
@@ -106,9 +110,9 @@ def _bucket_counts(value: str, buckets: dict) -> str:
 HIST = f"""
 {METRICS},
 hist AS (
-    SELECT dt, pl, count(*) AS session_count, {_bucket_counts('length_s', TIME_BUCKETS)},
+    SELECT dt, pl, level, count(*) AS session_count, {_bucket_counts('length_s', TIME_BUCKETS)},
            {_bucket_counts('steps', STEP_BUCKETS)}
-    FROM metrics GROUP BY dt, pl)
+    FROM metrics GROUP BY dt, pl, level)
 """
 
 
@@ -126,50 +130,50 @@ PACKED = " || '|' || ".join(
 )
 
 
+# missing users and sessions count as one
+USERS, SESSIONS = "count(DISTINCT coalesce(uid, '-'))", "count(DISTINCT coalesce(sid, '-'))"
+
+
 def _user_stats(length: str, name: str = "") -> str:
     query = f"""
-    SELECT dt, pl, count(DISTINCT uid) AS active_users, count(*) FILTER (en = 'e_l') AS new_install_users,
-           count(DISTINCT sid) AS session_count,
-           count(*) FILTER (en IN ({length})) // count(DISTINCT sid) AS session_length
-    FROM copies GROUP BY dt, pl"""
-    return f"WITH {WEBLOG}, {PLATFORM_COPIES}" + (f", {name} AS ({query})" if name else query)
+    SELECT dt, {PL}, {USERS} AS active_users, count(*) FILTER (en = 'e_l') AS new_install_users,
+           {SESSIONS} AS session_count, count(*) FILTER (en IN ({length})) // {SESSIONS} AS session_length
+    FROM weblog GROUP BY GROUPING SETS ((dt, pl), (dt))"""
+    return f"WITH {WEBLOG}" + (f", {name} AS ({query})" if name else query)
 
 
-DEVICE = f"""
-{WEBLOG},
-placed AS (
-    SELECT dt, p.pl, country, l.province, l.city, uid, sid
-    FROM weblog w, LATERAL (SELECT w.pl UNION ALL SELECT 'all') AS p(pl),
-         LATERAL (SELECT w.province, w.city UNION ALL SELECT w.province, 'all' UNION ALL SELECT 'all', 'all')
-             AS l(province, city)),
-per_session AS (
-    SELECT dt, pl, country, province, city, sid, count(*) AS n FROM placed GROUP BY ALL),
-device AS (
-    SELECT dt, pl, country, province, city, active_users, session_count, bounce_sessions
-    FROM (SELECT dt, pl, country, province, city, count(DISTINCT uid) AS active_users FROM placed GROUP BY ALL)
-    JOIN (SELECT dt, pl, country, province, city, count(*) AS session_count,
-                 count(*) FILTER (n = 1) AS bounce_sessions FROM per_session GROUP BY ALL)
-    USING (dt, pl, country, province, city))
-"""
+def _rolled(dims: list[str], sets: list[str], more: str = "") -> tuple[str, str]:
+    """Labels and level of roll-up rows, and the grouping sets."""
+    labels = ", ".join(f"CASE WHEN GROUPING({d}) = 1 THEN 'all' ELSE {d} END AS {d}" for d in dims)
+    return (f"dt, {labels}, CAST(GROUPING({', '.join(dims)}) AS INTEGER) AS level",
+            f"GROUPING SETS ({', '.join(f'(dt, {s}{more})' for s in sets)})")
+
+
+PLACES = ["country", "country, province", "country, province, city"]
+PLACED = ["country", "province", "city"]
+
 
-FLOW = f"""
+def _places(name: str, dims: list[str], sets: list[str], values: str) -> str:
+    """Statistics per place with one-event sessions, as the table ``name``."""
+    labels, groups = _rolled(dims, sets)
+    _, with_session = _rolled(dims, sets, ", sid")
+    same = " AND ".join(f"t.{c} IS NOT DISTINCT FROM s.{c}" for c in ["dt", *dims, "level"])
+    return f"""
 {WEBLOG},
-placed AS (
-    SELECT dt, country, l.province, l.city, uid, sid, en
-    FROM weblog w, LATERAL (SELECT w.province, w.city UNION ALL SELECT w.province, 'all'
-                            UNION ALL SELECT 'all', 'all') AS l(province, city)),
-singles AS (
-    SELECT dt, country, province, city, count(*) FILTER (n = 1) AS "on"
-    FROM (SELECT dt, country, province, city, sid, count(*) AS n FROM placed GROUP BY ALL)
-    GROUP BY ALL),
-flow AS (
-    SELECT p.*, s."on" FROM (
-        SELECT dt, country, province, city, count(*) FILTER (en = 'e_l') AS nu, count(DISTINCT uid) AS uv,
-               count(*) FILTER (en IN ('e_pv', 'e_bp')) AS pv, count(DISTINCT sid) AS sn
-        FROM placed GROUP BY ALL) p
-    JOIN singles s USING (dt, country, province, city))
+totals_{name} AS (SELECT {labels}, {values} FROM weblog GROUP BY {groups}),
+per_session AS (SELECT {labels}, sid, count(*) AS n FROM weblog GROUP BY {with_session}),
+singles AS (SELECT dt, {', '.join(dims)}, level, count(*) FILTER (n = 1) AS n_single FROM per_session
+            GROUP BY dt, {', '.join(dims)}, level),
+{name} AS (SELECT t.*, s.n_single FROM totals_{name} t JOIN singles s ON {same})
 """
 
+
+DEVICE = _places("device", ["pl", *PLACED], [*PLACES, *[f"pl, {p}" for p in PLACES]],
+                 f"{USERS} AS active_users, {SESSIONS} AS session_count")
+FLOW = _places("flow", PLACED, PLACES,
+               f"count(*) FILTER (en = 'e_l') AS nu, {USERS} AS uv, count(*) FILTER (en IN ('e_pv', 'e_bp')) AS pv, "
+               f"{SESSIONS} AS sn")
+
 TOTALS = """
 area_counts AS (
     SELECT dt, country, province, city, pid AS product_id, count(*) AS browser_count
@@ -190,7 +194,7 @@ def _top3(base: str, source: str, name: str = "") -> str:
 
 def _dim_ids(table: str, *key: str) -> str:
     order = ", ".join(f"{k} NULLS FIRST" for k in key)
-    return f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS id, {', '.join(key)} FROM {table}"
+    return f"SELECT row_number() OVER (ORDER BY {order}) AS id, {', '.join(key)} FROM {table}"
 
 
 def _sessions(gap: int, opener: str) -> str:
@@ -232,6 +236,17 @@ def _ids(stat: str, platform: bool = False, city: str = "") -> str:
     return ", ".join(parts)
 
 
+# ranges over several slices
+_WIDE = f"""WITH {VISITS},
+    wide AS (SELECT n_nationkey, n_name, k, low, high, name
+             FROM nation, (VALUES (0, 0, 150000, 'NEAR'), (1, 150001, 226608, 'FAR')) AS r(k, low, high, name)),
+    wide_rules AS (SELECT (n_nationkey + 1)::BIGINT * 16777216 + low AS start_ip,
+                          (n_nationkey + 1)::BIGINT * 16777216 + high AS end_ip,
+                          name AS country, n_name AS province, 'WIDE_' || n_nationkey || '_' || k AS city FROM wide)
+    SELECT event_id, coalesce(country, 'unknown') AS country, coalesce(province, 'unknown') AS province,
+           coalesce(city, 'unknown') AS city
+    FROM visits LEFT JOIN wide_rules ON ip_num BETWEEN start_ip AND end_ip"""
+
 ORACLES: dict[str, str] = {
     "ip_rules": f"WITH {RULES} SELECT * FROM rules",
     "parse_log": f"""WITH {PARSED}
@@ -253,7 +268,9 @@ ORACLES: dict[str, str] = {
     "ip_to_long": f"WITH {VISITS} SELECT event_id, ip, ip_num AS ip_number FROM addressed",
     "ip_region": f"WITH {WEBLOG} SELECT event_id, ip, country, province, city FROM weblog",
     "event_day_scan": f"""WITH {WEBLOG}
-        SELECT uid, sid, access_time, en, country, province, city, pl, pid FROM weblog WHERE dt = '2024-01-15'""",
+        SELECT uid, sid, access_time, en, country, province, city, pl, pid FROM weblog WHERE dt = '2024-01-15'
+        QUALIFY row_number() OVER (PARTITION BY access_time, uid, en ORDER BY event_id DESC) = 1""",
+    "ip_region_wide": _WIDE, "ip_region_by_shuffle": _WIDE,
     "event_dedup": f"""WITH {VISITS},
         twice AS (
             SELECT *, event_id AS ingest_seq FROM addressed
@@ -295,17 +312,18 @@ ORACLES: dict[str, str] = {
     "session_grain": f"WITH {GRAIN} SELECT * FROM grain",
     "session_metrics": f"WITH {METRICS} SELECT * FROM metrics",
     "session_hist": f"WITH {HIST} SELECT * FROM hist",
-    "session_aggr_stat": f"WITH {HIST} SELECT dt, pl, session_count, {RATIOS} FROM hist",
+    "session_aggr_stat": f"WITH {HIST} SELECT dt, pl, level, session_count, {RATIOS} FROM hist",
     "session_hist_packed": f"""WITH {HIST}
-        SELECT dt, pl, 'session_count=' || session_count || '|' || {PACKED} AS packed FROM hist""",
+        SELECT dt, pl, level, 'session_count=' || session_count || '|' || {PACKED} AS packed FROM hist""",
     "stats_user": _user_stats("'e_bp'"),
     "stats_user_all_views": _user_stats("'e_pv', 'e_bp'"),
-    "stats_device_location": f"WITH {DEVICE} SELECT * FROM device",
-    "location_flow": f"WITH {FLOW} SELECT * FROM flow",
-    "event_cube": f"""WITH {VISITS}
+    "stats_device_location": f"WITH {DEVICE} SELECT * RENAME (n_single AS bounce_sessions) FROM device",
+    "location_flow": f"WITH {FLOW} SELECT * RENAME (n_single AS \"on\") FROM flow",
+    "event_cube": f"""WITH {WEBLOG}
         SELECT dt, CASE WHEN GROUPING(pl) = 1 THEN 'all' ELSE pl END AS pl,
-               CASE WHEN GROUPING(en) = 1 THEN 'all' ELSE en END AS en, count(*) AS event_count
-        FROM visits GROUP BY GROUPING SETS ((dt, pl, en), (dt, pl), (dt, en), (dt))""",
+               CASE WHEN GROUPING(en) = 1 THEN 'all' ELSE en END AS en, CAST(GROUPING(pl, en) AS INTEGER) AS level,
+               count(*) AS event_count
+        FROM weblog GROUP BY GROUPING SETS ((dt, pl, en), (dt, pl), (dt, en), (dt))""",
     "product_area_count": f"WITH {WEBLOG}, {TOTALS.format(source='weblog')} SELECT * FROM area_counts",
     "city_concat": f"WITH {WEBLOG}, {TOTALS.format(source='weblog')} SELECT * FROM totals",
     "area_top3_product": _top3(PARSED, "parsed"),
@@ -335,17 +353,17 @@ ORACLES: dict[str, str] = {
         placed AS (SELECT DISTINCT country, province, city FROM weblog)
         {_dim_ids('placed', 'country', 'province', 'city')}""",
     "packed_fields": f"WITH {HIST} SELECT * REPLACE (CAST(-1 AS BIGINT) AS step_60) FROM hist",
-    "fact_session_aggr_stat": f"""WITH {HIST}, stat AS (SELECT dt, pl, session_count, {RATIOS} FROM hist),
+    "fact_session_aggr_stat": f"""WITH {HIST}, stat AS (SELECT dt, pl, level, session_count, {RATIOS} FROM hist),
         {_ids('stat', platform=True)}
         SELECT d.id AS date_dimension_id, p.id AS platform_dimension_id, v.* EXCLUDE (dt, pl)
-        FROM stat v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name = v.pl""",
+        FROM stat v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name IS NOT DISTINCT FROM v.pl""",
     "fact_stats_user": f"""{_user_stats("'e_bp'", 'stat')}, {_ids('stat', platform=True)}
         SELECT d.id AS date_dimension_id, p.id AS platform_dimension_id, v.* EXCLUDE (dt, pl), dt AS created
-        FROM stat v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name = v.pl""",
+        FROM stat v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name IS NOT DISTINCT FROM v.pl""",
     "fact_stats_device_location": f"""WITH {DEVICE}, {_ids('device', platform=True, city='city')}
-        SELECT d.id AS date_dimension_id, p.id AS platform_dimension_id, l.id AS location_dimension_id,
-               active_users, session_count, bounce_sessions, dt AS created
-        FROM device v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name = v.pl
+        SELECT d.id AS date_dimension_id, p.id AS platform_dimension_id, l.id AS location_dimension_id, level,
+               active_users, session_count, n_single AS bounce_sessions, dt AS created
+        FROM device v JOIN dates d ON d.calendar = v.dt JOIN platforms p ON p.platform_name IS NOT DISTINCT FROM v.pl
         JOIN places l ON l.country = v.country AND l.province = v.province AND l.city = v.city""",
     "fact_area_top3_product": f"""{_top3(WEBLOG, 'weblog', 'top')}, {_ids('top', city="'all'")}
         SELECT d.id AS date_dimension_id, l.id AS location_dimension_id, CAST(product_id AS BIGINT) AS product_id,
@@ -353,7 +371,8 @@ ORACLES: dict[str, str] = {
         FROM top v JOIN dates d ON d.calendar = v.dt
         JOIN places l ON l.country = v.country AND l.province = v.province""",
     "fact_stats_location_flow": f"""WITH {FLOW}, {_ids('flow', city='city')}
-        SELECT d.id AS date_dimension_id, l.id AS location_dimension_id, nu, uv, pv, sn, "on", dt AS created
+        SELECT d.id AS date_dimension_id, l.id AS location_dimension_id, level, nu, uv, pv, sn,
+               n_single AS "on", dt AS created
         FROM flow v JOIN dates d ON d.calendar = v.dt
         JOIN places l ON l.country = v.country AND l.province = v.province AND l.city = v.city""",
     "flow_upsert_latest": f"""WITH {VISITS}

@@ -19,6 +19,8 @@ ALL = "all"
 # -----------------------------------------------------------------------------
 
 VIEW_EVENTS = [PAGE_VIEW, PRODUCT_VIEW]
+# where a line came from: time of its file or message, name, offset, and line from there on
+SOURCE_COLUMNS = ["src_time", "src_name", "src_pos", "src_line"]
 
 
 def table(**columns: str) -> T.StructType:
@@ -27,8 +29,9 @@ def table(**columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, kinds[kind]) for name, kind in columns.items()])
 
 
-# The twelve known columns of a stored event, every other parameter in ``params``.
+# The twelve known columns of a stored event, every other parameter in ``params``, and where its line came from.
 EVENT_SCHEMA = T.StructType(
     [T.StructField(c, T.LongType() if c == "access_time" else T.StringType()) for c in EVENT_COLUMNS]
     + [T.StructField("params", T.MapType(T.StringType(), T.StringType()))]
+    + [T.StructField(c, T.StringType() if c == "src_name" else T.LongType()) for c in SOURCE_COLUMNS]
 )

@@ -63,13 +63,19 @@ def delete_on_exit(spark: SparkSession, path: str) -> None:
     store.deleteOnExit(target)
 
 
+def fresh_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder in the shared one, which the driver removes when it ends."""
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    delete_on_exit(spark, path)
+    return path
+
+
 def written_once(df: DataFrame) -> DataFrame:
     """A result several later steps need, as a table in the shared folder.
 
     Unlike cached blocks it outlives the executors that computed it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/written-{uuid.uuid4().hex}"
-    delete_on_exit(spark, path)
+    path = fresh_dir(spark, "written")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.barrier import computed_once
 from ..functions.ip import long_to_ip
 from ..operators.regions import resolve_regions
+from ..schemas import ALL
 
 DAY_MS = 86_400_000
 
@@ -89,8 +90,38 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weblog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their region."""
-    return resolve_regions(visits(spark, sf_dir), ip_rules(spark, sf_dir))
+    """Events with their region; some lack a user, session or platform, are sent from a second platform, or name their
+    platform or place like the label of a total."""
+    located = resolve_regions(visits(spark, sf_dir), ip_rules(spark, sf_dir))
+    every = lambda n: F.col("event_id") % n == 0
+    none = F.lit(None).cast("string")
+    return located.withColumns({
+        "pl": F.when(every(97), ALL).when(every(89), none).when(every(13), "pc").otherwise(F.col("pl")),
+        "uid": F.when(every(83), none).otherwise(F.col("uid")),
+        "sid": F.when(every(79), none).otherwise(F.col("sid")),
+        "province": F.when(every(101), ALL).otherwise(F.col("province")),
+        "city": F.when(every(101), ALL).otherwise(F.col("city")),
+    })
+
+
+def stored_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a load would store them, the source's number as the line they came from."""
+    none = F.lit(None).cast("string")
+    return weblog(spark, sf_dir).withColumns({
+        "b_n": none, "os_n": none, "params": F.create_map(F.lit("en"), F.col("en")),
+        "src_time": F.lit(0).cast("bigint"), "src_name": F.lit("/logs"), "src_pos": F.lit(0).cast("bigint"),
+        "src_line": F.col("event_id")})
+
+
+def wide_ip_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ranges for each nation that cover several slices and end within one, with a gap behind them."""
+    first = [(0, 0, 150_000, "NEAR"), (1, 150_001, 226_608, "FAR")]
+    start = (F.col("n_nationkey").cast("bigint") + 1) * 16777216
+    ranges = F.explode(F.array(*[F.struct(*[F.lit(x).alias(c) for c, x in zip(("k", "low", "high", "name"), r)]) for r in first]))
+    return load(spark, sf_dir, "nation").select("n_nationkey", "n_name", ranges.alias("r")).select(
+        (start + F.col("r.low")).alias("start_ip"), (start + F.col("r.high")).alias("end_ip"),
+        F.col("r.name").alias("country"), F.col("n_name").alias("province"),
+        F.concat(F.lit("WIDE_"), F.col("n_nationkey"), F.lit("_"), F.col("r.k")).alias("city"))
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,9 +154,19 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weblog_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of which every tenth arrives again later with another platform."""
+    """Events of which every tenth arrives again later with another platform, with the places of their lines.
+
+    Lines come in files of a thousand; the second copy of an event is in a file of a later time, in a later file of the
+    same time, in a later block of the same file or in a later line of the same block.
+    """
     v = visits(spark, sf_dir).withColumn("ingest_seq", F.col("event_id"))
     again = v.filter(F.col("event_id") % 10 == 0).withColumn(
         "ingest_seq", F.col("event_id") + 1_000_000_000
     ).withColumn("pl", F.lit("pc"))
-    return v.unionByName(again)
+    kind = F.call_function("div", F.col("event_id"), F.lit(10).cast("bigint")) % 4
+    late = lambda k: ((F.col("ingest_seq") >= 1_000_000_000) & (kind == k)).cast("bigint")
+    file = F.call_function("div", F.col("event_id"), F.lit(1000).cast("bigint"))
+    return v.unionByName(again).withColumns({
+        "src_time": file + late(0), "src_name": F.concat(F.lit("/logs/part-"), late(1).cast("string")),
+        "src_pos": late(2) * 4096, "src_line": late(3),
+    })

@@ -1,17 +1,17 @@
-"""The stored events: Parquet under ``load_day=…/dt=…``."""
+"""The stored events of one day."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.dates import checked_date, day_start, next_day
 from ..operators.dedup import dedup_events
 from ..schemas import ANALYSIS_COLUMNS, EVENT_SCHEMA, table
+from ..sinks.folders import Folders
 from .logs import MissingInput
 
-TABLE_SCHEMA = StructType([*EVENT_SCHEMA.fields, *table(load_day="date", dt="date").fields])
+TABLE_SCHEMA = StructType([*EVENT_SCHEMA.fields, *table(dt="date", writer="string", load="string").fields])
 
 
 def day_slice(events: DataFrame, date: str) -> DataFrame:
@@ -22,28 +22,30 @@ def day_slice(events: DataFrame, date: str) -> DataFrame:
     )
 
 
+def stored_day(spark: SparkSession, base: str, date: str) -> DataFrame:
+    """All stored rows of one day, copies included. Only the folder of the day is listed.
+
+    A store without the day gives no rows; a missing store, or a folder of another layout, raises.
+    """
+    folders, day = Folders(spark, base), f"dt={checked_date(date)}"
+    if not folders.exists():
+        raise MissingInput(f"no event table: {base}")
+    if not folders.exists(day):
+        held = [n for n in folders.names() if not n.startswith(("_", "."))]
+        if held and not any(n.startswith("dt=") for n in held):
+            raise MissingInput(f"no folders dt=/writer=/load= in {base}")
+        return spark.createDataFrame([], TABLE_SCHEMA)
+    held = [n for n in folders.names(day) if not n.startswith(("_", "."))]
+    if held and not all(n.startswith("writer=") for n in held):
+        raise MissingInput(f"no folders writer=/load= in {base}/{day}")
+    if not held:
+        return spark.createDataFrame([], TABLE_SCHEMA)
+    return day_slice(spark.read.schema(TABLE_SCHEMA).option("basePath", base).parquet(f"{base}/{day}"), date)
+
+
 def read_event_day(spark: SparkSession, base: str, date: str) -> DataFrame:
-    """The analysis columns of one day, one row per (access_time, uid, en).
+    """The analysis columns of one day, one row per (access_time, uid, en): the copy whose line came last.
 
-    The copy of the latest load wins; among copies of one load, as a stream may append them, the one that
-    ``dedup_events`` keeps. One scan and one shuffle, in which each task passes on one copy of a key.
+    One scan and one shuffle, in which each task passes on one copy of a key.
     """
-    day = checked_date(date)
-    try:
-        table = spark.read.schema(TABLE_SCHEMA).parquet(base)
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in str(err):
-            raise MissingInput(f"no event table: {base}") from err
-        raise
-    rows = day_slice(table.filter(F.col("dt") == F.lit(day)), date)
-    if not rows.limit(1).count() and _unreadable(spark, base):
-        raise MissingInput(f"no folders load_day=/dt= in {base}")
-    return dedup_events(rows.drop("dt"), F.desc("load_day")).select(*ANALYSIS_COLUMNS)
-
-
-def _unreadable(spark: SparkSession, base: str) -> bool:
-    """Whether a folder holds entries but none of the event store's own layout."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(base)
-    names = [f.getPath().getName() for f in root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)]
-    data = [n for n in names if not n.startswith(("_", "."))]
-    return bool(data) and not any(n.startswith("load_day=") for n in data)
+    return dedup_events(stored_day(spark, base, date).drop("dt", "writer", "load")).select(*ANALYSIS_COLUMNS)

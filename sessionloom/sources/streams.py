@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .logs import file_position
+
 
 def kafka_options(
     servers: str,
@@ -35,16 +37,25 @@ def kafka_options(
 
 
 def kafka_lines(spark: SparkSession, servers: str, topics: Iterable[str], **options) -> DataFrame:
-    """Message values as text; needs the Kafka connector on the class path."""
+    """Message values as text, with their place; needs the Kafka connector on the class path."""
     source = spark.readStream.format("kafka").options(**kafka_options(servers, topics, **options))
-    return source.load().select(F.col("value").cast("string").alias("value"))
+    return message_lines(source.load())
+
+
+def message_lines(messages: DataFrame) -> DataFrame:
+    """Lines of Kafka messages: time stamp, topic and partition, and offset say which of two copies came last."""
+    return messages.select(
+        F.col("value").cast("string").alias("value"), F.unix_millis("timestamp").alias("src_time"),
+        F.concat_ws("-", "topic", F.lpad(F.col("partition").cast("string"), 10, "0")).alias("src_name"),
+        F.col("offset").alias("src_pos"))
 
 
 def text_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of text files that come into a folder, with their place."""
     reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(path)
+    return reader.text(path).select("value", *file_position())
 
 
 def union_streams(streams: Iterable[DataFrame]) -> DataFrame:

@@ -25,11 +25,12 @@ def test_a_value_called_all_is_no_total(spark):
         (T, "u1", "s1", "e_pv", "all", "C", "all", "all"), (T, "u1", "s1", "e_pv", "pc", "C", "P", "X"),
         (T, None, None, "e_l", None, "C", "P", "all")], EVENTS)
     g = grain.session_grain(events)
-    assert rows(users.stats_user(g), "pl", "active_users", "session_count") == sorted(
-        [("all", 1, 1), ("all", 2, 2), ("pc", 1, 1), (None, 1, 1)], key=repr)
+    assert rows(users.stats_user(g), "pl", "level", "active_users", "session_count") == sorted(
+        [("all", 0, 1, 1), ("all", 1, 2, 2), ("pc", 0, 1, 1), (None, 0, 1, 1)], key=repr)
     hist = sessions.session_histogram(sessions.session_metrics(g))
     assert rows(hist, "pl", "session_count") == sorted([("all", 1), ("all", 2), ("pc", 1), (None, 1)], key=repr)
-    assert rows(cube.event_cube(events).filter("en = 'e_pv'"), "pl", "event_count") == [("all", 1), ("all", 2), ("pc", 1)]
+    assert rows(cube.event_cube(events).filter("en = 'e_pv'"), "pl", "level", "event_count") == [
+        ("all", 0, 1), ("all", 2, 2), ("pc", 0, 1)]
     flow = locations.location_flow(g)
     assert rows(flow, "province", "city", "uv", "on") == [
         ("P", "X", 1, 1), ("P", "all", 1, 1), ("P", "all", 2, 2), ("all", "all", 1, 1), ("all", "all", 1, 1),

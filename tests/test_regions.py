@@ -43,15 +43,15 @@ def test_broadcast_join_equals_plain_range_join(spark, events, rules):
 
 
 def test_join_of_a_large_rule_set_equals_plain_range_join(spark, events, rules):
-    got = regions.resolve_regions(events, rules, broadcast_rows=10)
+    got = regions.resolve_regions(events, rules, broadcast_bytes=10)
     assert rows(got, "id", "country", "province", "city") == brute(events, rules)
     assert "Cartesian" not in plan_of(got)
 
 
 def test_null_addresses_are_unknown_on_both_paths(spark, rules):
     lone = spark.createDataFrame([(1, None), (2, None)], "id bigint, ip_num bigint")
-    for limit in (10, 10**6):
-        got = regions.resolve_regions(lone, rules, broadcast_rows=limit)
+    for limit in (10, 10**9):
+        got = regions.resolve_regions(lone, rules, broadcast_bytes=limit)
         assert rows(got, "id", "city") == [(1, "unknown"), (2, "unknown")]
 
 

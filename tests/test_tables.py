@@ -15,7 +15,7 @@ from sessionloom.sinks.batchlog import append_batch, compact, read_log
 from sessionloom.sinks.tables import refresh_dimension, replace_day
 from sessionloom.schemas import table
 from sessionloom.sources import derived, jdbc
-from sessionloom.sources.event_table import read_event_day
+from sessionloom.sources.event_table import read_event_day, stored_day
 from sessionloom.sources.logs import MissingInput, read_day_logs, read_landed_day
 
 from conftest import plan_of, rows
@@ -48,7 +48,7 @@ def etl(spark, place, date):
 def test_day_logs(spark, place):
     write_lines(f"{place}/logs/2019/04/25", ["x", "y"])
     write_lines(f"{place}/logs/2019/04/25/hour=10", ["z"])
-    assert rows(read_day_logs(spark, f"{place}/logs/", "2019-04-25")) == [("x",), ("y",), ("z",)]
+    assert rows(read_day_logs(spark, f"{place}/logs/", "2019-04-25"), "value") == [("x",), ("y",), ("z",)]
 
 
 def test_missing_input_is_an_error(spark, place):
@@ -64,9 +64,9 @@ def test_missing_input_is_an_error(spark, place):
 
 def test_dedup_keeps_the_last_whole_row(spark):
     table_ = spark.createDataFrame(
-        [(1, "u", "e", "old", 1), (1, "u", "e", None, 2), (1, "u", "f", "x", 1)],
-        "access_time bigint, uid string, en string, pl string, seq bigint")
-    got = dedup_events(table_, F.desc("seq"))
+        [(1, "u", "e", "old", 1), (1, "u", "e", None, 2), (1, "u", "f", "x", 1), (1, "u", "e", "none", None)],
+        "access_time bigint, uid string, en string, pl string, src_pos bigint")
+    got = dedup_events(table_)
     assert rows(got, "en", "pl") == sorted([("e", None), ("f", "x")], key=repr)
     assert "WindowGroupLimit" in plan_of(got)
 
@@ -90,8 +90,9 @@ def test_day_scan_prunes_and_later_loads_win(spark, place):
     assert rows(first, "access_time", "pid") == sorted([(D1, "3"), (D1 + 1, None), (D1 + 9, None)], key=repr)
     second = read_event_day(spark, f"{place}/wh/events", "2019-04-26")
     assert rows(second, "access_time", "pid") == sorted([(D2 + 1, "own"), (D2 + 2, None)], key=repr)
-    plan = plan_of(first)
-    assert "PartitionFilters: [isnotnull(dt" in plan and "GreaterThanOrEqual(access_time" in plan
+    assert "GreaterThanOrEqual(access_time" in plan_of(first)
+    assert {f.split("/dt=")[1].split("/")[0] for f in stored_day(spark, f"{place}/wh/events", "2019-04-25").inputFiles()} == {
+        "2019-04-25"}
 
 
 def test_replace_day_also_with_nothing(spark, tmp_path):
