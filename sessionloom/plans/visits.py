@@ -55,6 +55,7 @@ def known_users(spark: SparkSession, path: str, buckets: int = BUCKETS) -> str:
     name = f"known_users_{hashlib.md5(path.encode()).hexdigest()[:12]}"
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in FIRST)
     if not spark.catalog.tableExists(name):
+        Folders(spark, path).make()
         spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (dt) "
                   f"CLUSTERED BY (uid) INTO {buckets} BUCKETS LOCATION '{path}'")
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")

@@ -25,6 +25,9 @@ class Folders:
         return sorted(n for n in (s.getPath().getName() for s in self.fs.listStatus(self._path(name)))
                       if n.startswith(prefix))
 
+    def make(self, name: str = "") -> None:
+        self.fs.mkdirs(self._path(name))
+
     def delete(self, name: str) -> None:
         self.fs.delete(self._path(name), True)
 

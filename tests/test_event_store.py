@@ -1,0 +1,139 @@
+"""One store for a daily load and streams: nobody's rows go with another's, and the last line of a key wins."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from sessionloom.operators.dedup import dedup_events
+from sessionloom.plans.etl import run_etl
+from sessionloom.sinks import event_store
+from sessionloom.sinks.folders import Folders
+from sessionloom.sources.event_table import read_event_day, stored_day
+from sessionloom.sources.ip_rules import read_ip_rules
+from sessionloom.sources.logs import MissingInput
+from sessionloom.sources.streams import message_lines, text_lines
+from sessionloom.streaming.events import start_event_load
+from sessionloom.streaming.landing import start_landing
+
+from conftest import rows
+
+D = 1_556_150_400_000  # 2019-04-25
+DAY = "2019-04-25"
+
+
+def put(folder, name, lines, mtime=None):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as out:
+        out.write("\n".join(lines) + "\n")
+    if mtime:
+        os.utime(f"{folder}/{name}", (mtime, mtime))
+
+
+def line(ms, uid, pl="pc", en="e_pv"):
+    return f"1.0.0.1|{D + ms}|h|/l?en={en}&uid={uid}&sid=s&pl={pl}"
+
+
+@pytest.fixture
+def place(tmp_path):
+    (tmp_path / "rules").write_text("a|b|16777216|16777471|n|C|P|X\n")
+    return str(tmp_path)
+
+
+def stream(spark, place, name="in", checkpoint="cp"):
+    start_event_load(text_lines(spark, f"{place}/{name}", 1), read_ip_rules(spark, f"{place}/rules"), f"{place}/wh/events",
+                     f"{place}/{checkpoint}", None).awaitTermination()
+
+
+def users(spark, place, day=DAY):
+    return [r[0] for r in rows(read_event_day(spark, f"{place}/wh/events", day), "uid")]
+
+
+def test_a_load_leaves_streamed_rows_alone(spark, place):
+    put(f"{place}/in", "0.log", [line(k, f"live{k}") for k in range(6)])
+    stream(spark, place)
+    today = spark.sql("select date_format(current_timestamp(), 'yyyy-MM-dd')").first()[0]
+    for date, uid in ((DAY, "own"), (today, "other")):
+        put(f"{place}/logs/{date.replace('-', '/')}", "a.log", [line(50, uid)])
+    live = [f"live{k}" for k in range(6)]
+    for _ in range(2):
+        run_etl(spark, DAY, f"{place}/logs", f"{place}/rules", f"{place}/wh")
+        run_etl(spark, today, f"{place}/logs", f"{place}/rules", f"{place}/wh")
+        assert users(spark, place) == sorted([*live, "own", "other"])
+    # a load that has become smaller, or moved to another day, replaces its own rows only
+    put(f"{place}/logs/2019/04/25", "a.log", [line(86_400_000, "own")])
+    run_etl(spark, DAY, f"{place}/logs", f"{place}/rules", f"{place}/wh")
+    assert users(spark, place) == sorted([*live, "other"]) and users(spark, place, "2019-04-26") == ["own"]
+
+
+def test_a_replayed_batch_replaces_its_load_and_another_stream_is_another_writer(spark, place):
+    put(f"{place}/in", "0.log", [line(1, "a")], 1_700_000_000)
+    put(f"{place}/in", "1.log", [line(2, "b")], 1_700_000_001)
+    stream(spark, place)
+    for name in ("1", ".1.crc"):
+        if os.path.exists(f"{place}/cp/commits/{name}"):
+            os.remove(f"{place}/cp/commits/{name}")
+    stream(spark, place)
+    assert stored_day(spark, f"{place}/wh/events", DAY).count() == 2
+    stream(spark, place, checkpoint="cp2")
+    assert stored_day(spark, f"{place}/wh/events", DAY).count() == 4 and users(spark, place) == ["a", "b"]
+
+
+def test_a_missing_landed_day_erases_nothing(spark, place):
+    put(f"{place}/in", "0.log", [line(k, f"u{k}") for k in range(5)])
+    start_landing(text_lines(spark, f"{place}/in"), f"{place}/raw", f"{place}/cp3", every=None).awaitTermination()
+    today = spark.sql("select date_format(current_timestamp(), 'yyyy-MM-dd')").first()[0]
+    run_etl(spark, today, f"{place}/raw", f"{place}/rules", f"{place}/wh", landed=True)
+    assert len(users(spark, place)) == 5
+    with pytest.raises(MissingInput):
+        run_etl(spark, "2001-01-01", f"{place}/raw", f"{place}/rules", f"{place}/wh", landed=True)
+    assert len(users(spark, place)) == 5
+
+
+def test_the_last_line_of_a_key_wins_in_load_and_stream(spark, place):
+    """By the file's time, then its name, then the place in it: first in one file, then over two, then over two loads."""
+    copies = [line(7, "u", pl) for pl in ("first", "second", "last")]
+    put(f"{place}/logs/2019/04/25", "b.log", copies, 1_700_000_000)
+    put(f"{place}/in", "b.log", copies, 1_700_000_000)
+    seen = lambda: rows(read_event_day(spark, f"{place}/wh/events", DAY), "pl")
+    run_etl(spark, DAY, f"{place}/logs", f"{place}/rules", f"{place}/wh")
+    assert seen() == [("last",)]
+    put(f"{place}/logs/2019/04/25", "a.log", [line(7, "u", "newer file")], 1_700_000_500)
+    run_etl(spark, DAY, f"{place}/logs", f"{place}/rules", f"{place}/wh")
+    assert seen() == [("newer file",)]
+    stream(spark, place)
+    assert seen() == [("newer file",)], "the stream's copy comes from an older file"
+    put(f"{place}/in", "c.log", [line(7, "u", "x"), line(7, "u", "streamed")], 1_700_000_900)
+    stream(spark, place)
+    assert seen() == [("streamed",)]
+
+
+def test_kafka_copies_follow_their_offsets(spark):
+    messages = spark.createDataFrame(
+        [(b"a", "t", 0, 5, 10), (b"b", "t", 0, 6, 10), (b"c", "t", 1, 1, 9)],
+        "value binary, topic string, partition int, offset long, ms long").withColumn("timestamp", F.timestamp_millis("ms"))
+    events = message_lines(messages).select(
+        F.lit(1).alias("access_time"), F.lit("u").alias("uid"), F.lit("e").alias("en"), "*")
+    assert rows(dedup_events(events), "value") == [("b",)]
+
+
+def test_reading_a_day_lists_that_day_alone(spark, place):
+    base = f"{place}/store"
+    event = spark.createDataFrame([(D, "u", "e")], "access_time long, uid string, en string")
+    listed = []
+    for k in range(40):
+        event_store.replace_load(event.withColumn("access_time", F.lit(D + (k % 20 + 1) * 86_400_000)), base, "etl", f"{k}")
+        if k == 0:
+            event_store.replace_load(event, base, "etl", "this")
+        listed.append(len(Folders(spark, base).names(f"dt={DAY}/writer=etl")))
+    assert set(listed[1:]) == {1}
+    day = stored_day(spark, base, DAY)
+    assert day.count() == 1 and len(day.inputFiles()) == 1
+
+
+def test_a_store_without_the_day_is_empty_and_none_raises(spark, place):
+    event = spark.createDataFrame([(D, "u", "e")], "access_time long, uid string, en string")
+    event_store.replace_load(event, f"{place}/store", "etl", "x")
+    assert read_event_day(spark, f"{place}/store", "2019-05-01").count() == 0
+    with pytest.raises(MissingInput):
+        read_event_day(spark, f"{place}/nowhere", DAY)

@@ -76,3 +76,20 @@ def test_rule_file(spark, tmp_path):
     got = read_ip_rules(spark, str(path))
     assert rows(got) == [(16777216, 16777471, "C", "P", "T"), (16777472, 16777481, "C", "P", "U")]
     assert got.schema == rule_columns(spark.read.text(str(path))).schema
+
+
+def test_a_stream_finds_the_same_beyond_the_limit(spark, events, rules, tmp_path):
+    events.repartition(3).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"{tmp_path}/in")
+    for name, limit in (("wide", 0), ("small", 10**9)):
+        found = regions.resolve_regions(stream, rules, broadcast_bytes=limit)
+        found.writeStream.format("parquet").option("path", f"{tmp_path}/{name}").option(
+            "checkpointLocation", f"{tmp_path}/cp-{name}").trigger(availableNow=True).start().awaitTermination()
+        assert rows(spark.read.parquet(f"{tmp_path}/{name}"), "id", "country", "province", "city") == brute(events, rules)
+
+
+def test_stored_rules_serve_batches_at_any_limit(spark, events, rules):
+    known = regions.region_rules(rules)
+    for limit in (0, known.bytes):
+        got = regions.resolve_regions(events, known, broadcast_bytes=limit)
+        assert rows(got, "id", "country", "province", "city") == brute(events, rules)
