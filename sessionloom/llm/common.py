@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import written_once
+
 # most bytes of a table that may be broadcast
 BROADCAST_BYTES = 32 << 20
 # copies of a lookup table too large to broadcast, against keys that hold a third of all rows
@@ -73,3 +75,23 @@ def window_hashes(hashes: Column, k: int) -> Column:
     return let(hashes, lambda h: F.slice(
         F.transform(h, lambda x, i: F.xxhash64(x, *[F.get(h, i + d) for d in range(1, k)])),
         1, F.greatest(F.size(h) - (k - 1), F.lit(0))))
+
+
+# rows that one step of ``repeated`` makes of one row
+_FAN = 1 << 12
+
+
+def repeated(rows: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its column ``times`` says, without the column.
+
+    In two steps: a row first becomes one for each ``_FAN`` copies, and these are dealt out by number before the second
+    step, so a row that stands for a third of a table is not written by one task. Rows of few copies stay where they are.
+    """
+    rows = written_once(rows)
+    steps = F.ceil(F.col(times) / _FAN)
+    few = rows.filter(F.col(times).between(1, _FAN)).withColumn("_copies", F.col(times))
+    many = rows.filter(F.col(times) > _FAN).withColumn("_step", F.explode(F.sequence(F.lit(1).cast("long"), steps)))
+    left = F.least(F.lit(_FAN).cast("long"), F.col(times) - (F.col("_step") - 1) * _FAN)
+    dealt = many.withColumn("_copies", left).repartition("_step").drop("_step")
+    both = few.unionByName(dealt)
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).drop("_copy", "_copies", times)

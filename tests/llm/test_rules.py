@@ -172,3 +172,13 @@ def test_salted_lookup_equals_broadcast(spark, docs, monkeypatch):
     one = rows(mixing.with_taken(mixing.sized_rows(docs), plan).drop("source"))
     monkeypatch.setattr(common, "BROADCAST_BYTES", 1)
     assert rows(mixing.with_taken(mixing.sized_rows(docs), plan).drop("source")) == one
+
+
+def test_rows_repeated_in_steps(spark, monkeypatch):
+    from sessionloom.llm import common
+
+    monkeypatch.setattr(common, "_FAN", 4)
+    frame = spark.createDataFrame([(k, n) for k, n in enumerate([1, 0, 4, 5, 8, 23, 1])], "k long, n long")
+    found = common.repeated(frame, "n")
+    assert found.columns == ["k"]
+    assert {r.k: r["count"] for r in found.groupBy("k").count().collect()} == {0: 1, 2: 4, 3: 5, 4: 8, 5: 23, 6: 1}
