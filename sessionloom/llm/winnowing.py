@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written_once
-from .common import hashes_of, let, lookup_join, lower_ascii, window_hashes
+from .common import hashes_of, let, lookup_join, lower_ascii, repeated, window_hashes
 
 WINDOW, GRAM = 10, 5
 # ASCII characters that are no part of a word
@@ -124,7 +124,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
         "_doc", "_key", "n_words", "width", "s.*")
     hits = lookup_join(spanned, keyed, ["width", "first", "last"]).filter("width = 0 or set_id is not null")
 
-    by_set = hits.repartition("_doc", "_key").groupBy("_doc", "_key", "set_id").agg(
+    by_set = hits.groupBy("_doc", "_key", "set_id").agg(
         F.sum((F.col("width") == 0).cast("long")).alias("copies"), F.max("n_words").alias("n_words"),
         F.collect_set(F.when(F.col("width") > 0, F.struct("start", "width"))).alias("hits"))
     merged = lookup_join(by_set, sets, "set_id").groupBy("_doc", "_key").agg(
@@ -136,11 +136,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
         lambda acc, x: F.struct(
             (acc["total"] + F.greatest(x["start"] + x["width"] - F.greatest(acc["end"], x["start"]), F.lit(0))).alias("total"),
             F.greatest(acc["end"], x["start"] + x["width"]).alias("end")))["total"]
-    return merged.select(
+    return repeated(merged.select(
         F.col("_doc").alias(doc), "_key", F.col("n_words").cast("long").alias("n_words"), covered.cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), "items", "hits",
-        (F.size("hits") > 0).alias("contaminated"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("_copy")
-    ).drop("_copy")
+        (F.size("hits") > 0).alias("contaminated"), "copies"), "copies")
 
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text",
