@@ -9,7 +9,7 @@ from sessionloom.llm import quality_rules, simhash, toxicity, winnowing
 from sessionloom.llm.oracles import ORACLES
 from sessionloom.llm.queries import QUERIES
 
-TABLES = ["documents", "pages", "benchmark", "labels"]
+TABLES = ["documents", "pages", "benchmark", "labels", "embeddings"]
 NATIVE = ["op1_mixing", "op5_quality_rules", "op6_decontamination", "op9_licenses"]
 
 
@@ -40,7 +40,7 @@ def test_native_plans_hold_no_python(spark, sf_dir, name):
 def test_all_are_registered():
     names = set(contract.queries())
     assert set(QUERIES) < names and "pipeline" in names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_pipeline_follows_its_stages(spark, sf_dir):
