@@ -1,13 +1,17 @@
 """A hashed maximum-entropy language model with class-factored softmax.
 
-A token's probability is that of its class times that of the token within the class, each a softmax over weights
-summed from hashed features of the words before it: the last, the last two together, and the one before the last alone
-(a skip); without any, it is the token's share of the training counts. The most frequent training tokens have classes; all others share one more class, within which a token
+A token's probability is the product of choices on its way through classes, each a softmax over weights summed from
+hashed features of the words before it: the last, the last two together, and the one before the last alone (a skip);
+the tree below goes without the pair. Without any, it is the token's share of the training counts. The most frequent training tokens have two choices, a class
+and the token within it. All others share one more class, which a tree divides further: as deep as the
+number of distinct training tokens asks for. A leaf is a single token, or, for tokens too rare to be known to every task,
+a bucket by their hash of some ``BUCKET`` tokens; there are as many buckets as those need, and within one a token
 has its add-one share of the training counts, so the model covers every text.
 
 Training makes one pass over all training texts in rounds. In a round every task follows the gradient over its texts
-from the common weights, and the changes are averaged per weight row by how often each task met it. Weights have a
-fixed size, counts and gradients grow with the input.
+from the common weights, and the changes are averaged per weight row by how often each task met it. The number of weight
+rows doubles with every fourfold of training tokens from ``GROWTH`` on, and so do the texts of a task, so that what tasks
+send grows with the input.
 """
 
 from __future__ import annotations
@@ -30,9 +34,14 @@ END = " "
 CLASSES, PER_CLASS = 32, 64
 # most tokens sent to every task, by training count; the rest is counted by a join
 KNOWN = 1 << 17
-CLASS_ROWS, WORD_ROWS = 1 << 12, 1 << 14
-FEATURES, ROUNDS, BATCH, RATE = 3, 2, 8192, 0.15
-LARGEST, SHORT = 60.0, 6
+# most branches of a node of the tree below the shared class, and rare tokens that share a leaf of it on average
+FAN, BUCKET = 32, 64
+# hash rows of each layer, up to so many training tokens
+CLASS_ROWS, WORD_ROWS, TREE_ROWS, GROWTH = 1 << 12, 1 << 14, 1 << 15, 1 << 27
+ROUNDS, BATCH, RATE = 2, 8192, 0.15
+# features by which branches of the tree are chosen: the last word and the skip
+TREE_FEATURES = [0, 2]
+LARGEST, SHORT = 60.0, 20
 # tokens whose counts a task holds
 HELD = 1 << 19
 # tokens that a training task should see at least, if there are that many for each core
@@ -59,11 +68,15 @@ class Numbers(dict):
 
 @dataclass
 class Vocabulary:
-    """What every task knows: counts of frequent tokens, totals, and which tokens have classes."""
+    """What every task knows: counts of frequent tokens, totals, which tokens have classes, and the tree of the others.
+
+    ``buckets`` holds the add-one mass of each bucket of the tokens that are not in ``counts``.
+    """
 
     counts: dict[str, int]
     total: int
     distinct: int
+    buckets: np.ndarray | None = None
 
     def __post_init__(self):
         order = sorted(self.counts, key=lambda t: (-self.counts[t], t))
@@ -72,7 +85,15 @@ class Vocabulary:
         self.classed = min(CLASSES * PER_CLASS, len(order))
         inside = sum(self.counts[t] for t in order[:self.classed])
         self.rest_total = self.total - inside
-        self.rest_distinct = self.distinct - self.classed
+        # weight rows double with every fourfold of tokens
+        self.growth = ((self.total // GROWTH).bit_length() + 1) // 2
+        if self.buckets is None:
+            beyond = self.total - sum(self.counts.values()) + self.distinct - len(order)
+            self.buckets = np.array([beyond + 1.0])
+        self.bucket_bits = len(self.buckets).bit_length() - 1
+        self.bucket_logs = np.log10(self.buckets)
+        self.single = len(order) - self.classed
+        self._tree(np.concatenate([np.array([self.counts[t] for t in order[self.classed:]], float) + 1, self.buckets]))
         start = np.array([self.counts[t] for t in order[:self.classed]], float)
         per = np.zeros(CLASSES * PER_CLASS)
         per[:self.classed] = start
@@ -86,6 +107,25 @@ class Vocabulary:
             self.word_bias.reshape(-1)[self.classed:] = -30.0
             self.class_bias[-(-self.classed // PER_CLASS):CLASSES] = -30.0
 
+    def _tree(self, mass: np.ndarray) -> None:
+        """Numbers of the nodes of every level, leaves first, and the share of each branch in its node."""
+        self.levels, shares, nodes = [], [], 0
+        # as few levels as ``FAN`` allows, and then as few branches as these need
+        deep = next(k for k in range(64) if FAN ** k >= len(mass))
+        self.fan = next(k for k in range(1, FAN + 1) if k ** deep >= len(mass))
+        while len(mass) > 1:
+            mass = np.append(mass, np.zeros(-len(mass) % self.fan)).reshape(-1, self.fan)
+            above = mass.sum(1)
+            shares.append(np.where(mass > 0, np.log(np.maximum(mass, 0.1) / above[:, None]), -30.0))
+            self.levels.append(nodes)
+            nodes += len(mass)
+            mass = above
+        self.tree_bias = np.concatenate([np.zeros((0, self.fan)), *shares]).astype(np.float32)
+
+    def leaves(self, ids: np.ndarray) -> np.ndarray:
+        """Leaves of tokens without a class."""
+        return np.where(ids < 0, self.single - 1 - ids, ids - self.classed)
+
 
 def token_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Stored counts (token, c) of all training tokens; tasks hand on what they hold whenever it is many tokens."""
@@ -124,66 +164,104 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
             break
         kept, least = kept + row.n, row.least
     known = {r.token: r.c for r in counts.filter(F.col("c") >= least).collect()} if kept else {}
-    return Vocabulary(known, int(total), int(distinct)), least
+    bits = ((distinct - kept) // BUCKET).bit_length()
+    buckets = np.ones(1 << bits)
+    bucket = F.shiftrightunsigned(F.xxhash64("token"), 64 - bits) if bits else F.lit(0).cast("long")
+    sums = counts.filter(F.col("c") < least).groupBy(bucket.alias("bucket")).agg(F.sum(F.col("c") + 1).alias("mass")).toArrow()
+    buckets[sums.column("bucket").to_numpy()] += sums.column("mass").to_numpy()
+    return Vocabulary(known, int(total), int(distinct), buckets), least
 
 
 class Model:
-    def __init__(self, vocabulary: Vocabulary, class_rows: np.ndarray | None = None, word_rows: np.ndarray | None = None):
+    def __init__(self, vocabulary: Vocabulary, *rows: np.ndarray):
         self.v = vocabulary
-        self.class_rows = np.zeros((CLASS_ROWS, CLASSES + 1), np.float32) if class_rows is None else class_rows
-        self.word_rows = np.zeros((WORD_ROWS, PER_CLASS), np.float32) if word_rows is None else word_rows
+        shapes = (CLASS_ROWS, CLASSES + 1), (WORD_ROWS, PER_CLASS), (TREE_ROWS, vocabulary.fan)
+        self.rows = rows or tuple(np.zeros((n << vocabulary.growth, width), np.float32) for n, width in shapes)
+        self.class_rows, self.word_rows, self.tree_rows = self.rows
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-        """Ids of all tokens of all texts, features, the tokens themselves, and each text's number of tokens."""
+        """Ids of all tokens of all texts, features, the tokens themselves, and each text's number of tokens.
+
+        The id of a token that is not known is -1 less its bucket.
+        """
+        import xxhash
+
         lists = [tokens_of(t) for t in texts]
         flat = list(chain.from_iterable(lists))
         ids = np.fromiter(map(self.v.ids.__getitem__, flat), np.int64, len(flat))
         sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        # words before: unknown ones by their last letters, a text's beginning by a sign of its own
-        marks = ids.astype(np.uint64) + np.uint64(2)
+        # words before: unknown ones by their hash in a pair and else by their last letters, a text's beginning by a sign of its own
+        names = ids.astype(np.uint64) + np.uint64(2)
+        marks = names.copy()
+        shift = 64 - self.v.bucket_bits
         for k in np.flatnonzero(ids < 0).tolist():
-            marks[k] = (1 << 20) + int.from_bytes(flat[k][-3:], "little")
+            token = flat[k]
+            name = xxhash.xxh64_intdigest(token, 42)
+            names[k], ids[k] = name, -1 - (name >> shift)
+            marks[k] = (1 << 20) + int.from_bytes(token[-3:], "little")
         ends = np.cumsum(sizes)
         begins = ends - sizes
-        last, before = np.empty_like(marks), np.empty_like(marks)
-        last[1:], before[2:] = marks[:-1], marks[:-2]
-        last[begins] = 1
-        before[begins] = 0
         second = begins[sizes > 1] + 1
-        before[second] = 1
+
+        def last(x: np.ndarray) -> np.ndarray:
+            out = np.empty_like(x)
+            out[1:] = x[:-1]
+            out[begins] = 1
+            return out
+
+        def before(x: np.ndarray) -> np.ndarray:
+            out = np.empty_like(x)
+            out[2:] = x[:-2]
+            out[begins], out[second] = 0, 1
+            return out
+
         features = np.stack([
-            (last * _MIX) ^ np.uint64(1), ((last * _MIX + before) * _MIX) ^ np.uint64(2),
-            (before * _MIX) ^ np.uint64(3)], axis=1)
+            (last(marks) * _MIX) ^ np.uint64(1), ((last(names) * _MIX + before(names)) * _MIX) ^ np.uint64(2),
+            (before(marks) * _MIX) ^ np.uint64(3)], axis=1)
         return ids, features * _MIX, flat, sizes
 
     def targets(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         classed = (ids >= 0) & (ids < self.v.classed)
         return np.where(classed, ids // PER_CLASS, CLASSES), np.where(classed, ids % PER_CLASS, -1)
 
-    def layers(self, features: np.ndarray, kind: np.ndarray):
-        """Rows and logits of both layers; the second only for tokens that have a class."""
-        top = (features >> np.uint64(64 - 12)).astype(np.int64)
-        logits = self.class_rows.take(top[:, 0], axis=0)
-        for k in range(1, FEATURES):
-            logits += self.class_rows.take(top[:, k], axis=0)
-        logits += self.v.class_bias
+    def _layer(self, layer: int, hashes: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        rows = self.rows[layer]
+        at = (hashes >> np.uint64(65 - len(rows).bit_length())).astype(np.int64)
+        logits = rows.take(at[:, 0], axis=0)
+        for k in range(1, at.shape[1]):
+            logits += rows.take(at[:, k], axis=0)
+        logits += bias
+        return at, logits
+
+    def layers(self, ids: np.ndarray, features: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of every layer: its number, the tokens that make a choice there, its rows, logits, and the outcomes.
+
+        On the tree every token makes a choice on each level.
+        """
+        kind, inner = self.targets(ids)
+        yield 0, np.arange(len(ids)), *self._layer(0, features, self.v.class_bias), kind
         classed = np.flatnonzero(kind < CLASSES)
-        cls = kind[classed]
-        low = (((features[classed] + cls[:, None].astype(np.uint64)) * _MIX) >> np.uint64(64 - 14)).astype(np.int64)
-        words = self.v.word_bias.take(cls, axis=0)
-        for k in range(FEATURES):
-            words += self.word_rows.take(low[:, k], axis=0)
-        return top, logits, classed, low, words
+        if len(classed):
+            cls = kind[classed]
+            low = (features[classed] + cls[:, None].astype(np.uint64)) * _MIX
+            yield 1, classed, *self._layer(1, low, self.v.word_bias.take(cls, axis=0)), inner[classed]
+        rest = np.flatnonzero(kind == CLASSES)
+        if len(rest):
+            leaves, before = self.v.leaves(ids[rest]), features[rest][:, TREE_FEATURES]
+            for begin in self.v.levels:
+                # a level at a time, whose logits stay in the processor's cache
+                leaves, branches = np.divmod(leaves, self.v.fan)
+                nodes = leaves + begin
+                low = (before + nodes[:, None].astype(np.uint64)) * _MIX
+                yield 2, rest, *self._layer(2, low, self.v.tree_bias.take(nodes, axis=0)), branches
 
     def log_probabilities(self, ids: np.ndarray, features: np.ndarray) -> np.ndarray:
-        """Natural logarithms; for tokens without a class, that of the class they share."""
-        out = np.empty(len(ids))
+        """Natural logarithms; for tokens that are not known, that of their bucket."""
+        out = np.zeros(len(ids))
         for at in range(0, len(ids), BATCH):
-            kind, inner = self.targets(ids[at:at + BATCH])
-            _, logits, classed, _, words = self.layers(features[at:at + BATCH], kind)
-            part = _picked(logits, kind)
-            part[classed] += _picked(words, inner[classed])
-            out[at:at + BATCH] = part
+            part = out[at:at + BATCH]
+            for _, tokens, _, logits, outcomes in self.layers(ids[at:at + BATCH], features[at:at + BATCH]):
+                part[tokens] += _picked(logits, outcomes)
         return out
 
 
@@ -223,27 +301,26 @@ class Trainer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.state = [(rows, np.zeros(len(rows), np.float32), np.zeros(len(rows), np.float32))
-                      for rows in (model.class_rows, model.word_rows)]
+        self.state = [(rows, np.zeros(len(rows), np.float32), np.zeros(len(rows), np.float32)) for rows in model.rows]
 
     def _step(self, layer: int, at: np.ndarray, gradient: np.ndarray) -> None:
         rows, squares, met = self.state[layer]
-        # row numbers fit 16 bits, which sort by radix
-        flat = at.T.astype(np.uint16).ravel()
+        # row numbers that fit 16 bits sort by radix
+        flat = at.T.astype(np.uint16 if len(rows) <= 1 << 16 else np.uint32).ravel()
         order = np.argsort(flat, kind="stable")
-        names, begins, times = np.unique(flat[order], return_index=True, return_counts=True)
+        flat = flat[order]
+        begins = np.append(0, np.flatnonzero(flat[1:] != flat[:-1]) + 1)
+        names, times = flat[begins], np.diff(np.append(begins, len(flat)))
         sums = _row_sums(gradient, order % len(at), begins, times)
         met[names] += times
-        squares[names] += (sums ** 2).sum(1)
-        rows[names] -= RATE * sums / np.sqrt(squares[names] + 1)[:, None]
+        squares[names] += np.einsum("ij,ij->i", sums, sums)
+        sums *= (RATE / np.sqrt(squares[names] + 1))[:, None]
+        rows[names] -= sums
 
     def learn(self, ids: np.ndarray, features: np.ndarray) -> None:
         for at in range(0, len(ids), BATCH):
-            kind, inner = self.model.targets(ids[at:at + BATCH])
-            top, logits, classed, low, words = self.model.layers(features[at:at + BATCH], kind)
-            self._step(0, top, _errors(logits, kind))
-            if len(classed):
-                self._step(1, low, _errors(words, inner[classed]))
+            for layer, _, rows, logits, outcomes in self.model.layers(ids[at:at + BATCH], features[at:at + BATCH]):
+                self._step(layer, rows, _errors(logits, outcomes))
 
 
 # weight rows that travel together
@@ -254,14 +331,14 @@ _PART = "part int, salt int, sums binary, met binary"
 def _train_round(train: DataFrame, model: Model) -> Model:
     """The model after every task's pass over its rows of ``train`` (text), averaged row by row."""
     sent = train.sparkSession.sparkContext.broadcast(model)
-    layers = (model.class_rows, model.word_rows)
+    layers = model.rows
     groups = [(k, a) for k, rows in enumerate(layers) for a in range(0, len(rows), _GROUP)]
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         base = sent.value
-        mine = Model(base.v, base.class_rows.copy(), base.word_rows.copy())
+        mine = Model(base.v, *[rows.copy() for rows in base.rows])
         trainer, any_rows = Trainer(mine), False
         for batch in batches:
             texts = batch.column("text").to_pylist()
@@ -277,7 +354,7 @@ def _train_round(train: DataFrame, model: Model) -> Model:
             met = met[a:a + _GROUP]
             if not met.any():
                 continue
-            change = (rows[a:a + _GROUP] - (base.class_rows, base.word_rows)[layer][a:a + _GROUP]) * met[:, None]
+            change = (rows[a:a + _GROUP] - base.rows[layer][a:a + _GROUP]) * met[:, None]
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "salt": pa.array([salt], pa.int32()),
                 "sums": [change.astype(np.float32).tobytes()], "met": [met.tobytes()]})
@@ -288,7 +365,7 @@ def _train_round(train: DataFrame, model: Model) -> Model:
                          "sums": [total[0].astype(np.float32).tobytes()], "met": [total[1].astype(np.float32).tobytes()]})
 
     # a task sends changes of a fixed size, so small input partitions are read together
-    tasks = max(train.sparkSession.sparkContext.defaultParallelism, model.v.total // ROUNDS // TASK_TOKENS)
+    tasks = max(train.sparkSession.sparkContext.defaultParallelism, model.v.total // ROUNDS // (TASK_TOKENS << model.v.growth))
     changes = train.coalesce(tasks).mapInArrow(learn, _PART)
     merged = changes.groupBy("part", "salt").applyInArrow(add, _PART).groupBy("part").applyInArrow(add, _PART)
     new = [rows.copy() for rows in layers]
@@ -334,11 +411,9 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 part = texts[at:at + 64]
                 ids, features, flat, sizes = model.encode(part)
                 logs = model.log_probabilities(ids, features) / np.log(10)
-                # in the shared class: add-one share of its training counts; unknown counts follow from the join
-                shared = (ids < 0) | (ids >= v.classed)
-                logs -= shared * np.log10(v.rest_total + v.rest_distinct + 1)
-                base = v.logs[ids]
-                logs += np.where(shared, base, 0)
+                # in a bucket: add-one share of its training counts, which follow from the join
+                logs -= np.where(ids < 0, v.bucket_logs[np.maximum(-1 - ids, 0)], 0)
+                base = v.logs[np.maximum(ids, -1)]
                 begins = np.cumsum(sizes) - sizes
                 unknown = np.flatnonzero(ids < 0)
                 cuts = np.searchsorted(unknown, np.append(begins, len(ids))).tolist()

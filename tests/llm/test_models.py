@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from conftest import rows
 from llm_fixtures import docs, no_docs  # noqa: F401
@@ -63,6 +64,65 @@ def test_model_is_a_distribution():
         assert mass == pytest.approx(1, abs=1e-3)
 
 
+def few_classes(monkeypatch, count=4):
+    monkeypatch.setattr(maxent, "CLASSES", 1)
+    monkeypatch.setattr(maxent, "PER_CLASS", count)
+
+
+def test_all_tokens_together_have_probability_one(monkeypatch):
+    """Tokens with a class, single leaves of a tree of several levels, and buckets."""
+    few_classes(monkeypatch)
+    monkeypatch.setattr(maxent, "FAN", 8)
+    words = {f"w{k}": 400 - k for k in range(300)} | {maxent.END: 50}
+    vocabulary = maxent.Vocabulary(words, sum(words.values()) + 90, len(words) + 60, np.array([50.0, 1.0, 70.0, 33.0]))
+    assert len(vocabulary.levels) == 3 and vocabulary.single == 297
+    model, rng = maxent.Model(vocabulary), np.random.default_rng(2)
+    for rows in model.rows:
+        rows += rng.normal(size=rows.shape).astype(np.float32)
+    ids, features, _, _ = model.encode(["w1 zz w299 yy"])
+    assert ids[[0, 2]].tolist() == [1, 299] and (ids[[1, 3]] < 0).all()
+    every = np.arange(-4, len(words))
+    for k in range(len(features)):
+        logs = model.log_probabilities(every, np.repeat(features[k:k + 1], len(every), axis=0))
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_tokens_beyond_the_classes_are_told_apart_by_what_stands_before(monkeypatch):
+    few_classes(monkeypatch)
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["the of and", f"a{k} b{k}"]) for k in rng.choices(range(30), k=40)) for _ in range(300)]
+    counts = Counter(t for x in texts for t in maxent.tokens_of(x))
+    known = {t.decode(): n for t, n in counts.items() if t != b"b7"}
+    model = maxent.Model(maxent.Vocabulary(known, sum(counts.values()), len(counts)))
+    trainer = maxent.Trainer(model)
+    for k in [*range(0, 300, 20)] * 4:
+        ids, features, _, _ = model.encode(texts[k:k + 20])
+        trainer.learn(ids, features)
+
+    def after(first, second):
+        ids, features, _, _ = model.encode([f"{first} {second}"])
+        return model.log_probabilities(ids, features)[1]
+
+    for k in (3, 11, 25):
+        assert after(f"a{k}", f"b{k}") > after(f"a{k}", f"b{k + 1}") + 2
+    assert after("a7", "b7") > after("a3", "b7") + 2, "a token that no task knows, by its bucket"
+
+
+def test_buckets_and_weight_rows_follow_the_training_tokens(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "KNOWN", 40)
+    monkeypatch.setattr(maxent, "BUCKET", 8)
+    counts = [(f"wörd{k}", 1 + 300 // (k + 1)) for k in range(400)]
+    found, least = maxent.vocabulary(spark.createDataFrame(counts, "token string, c long"))
+    rare = [(t, c) for t, c in counts if c < least]
+    assert len(rare) >= 360 and len(found.buckets) == 64 and found.single == 0
+    want = np.ones(64)
+    for token, c in rare:
+        want[xxhash.xxh64_intdigest(token.encode(), 42) >> 58] += c + 1
+    assert found.buckets.tolist() == want.tolist()
+    sizes = [len(maxent.Model(maxent.Vocabulary({}, maxent.GROWTH * n, 5)).word_rows) // maxent.WORD_ROWS for n in (0, 1, 4, 16)]
+    assert sizes == [1, 2, 4, 8]
+
+
 def test_model_beats_unigrams_on_held_out_text(spark):
     rng = random.Random(4)
     lines = ["the cat sat on the mat", "a dog ran over the hill", "we read old books at night"]
