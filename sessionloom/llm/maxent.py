@@ -193,12 +193,14 @@ class Model:
         # words before: unknown ones by their hash in a pair and else by their last letters, a text's beginning by a sign of its own
         names = ids.astype(np.uint64) + np.uint64(2)
         marks = names.copy()
-        shift = 64 - self.v.bucket_bits
-        for k in np.flatnonzero(ids < 0).tolist():
-            token = flat[k]
-            name = xxhash.xxh64_intdigest(token, 42)
-            names[k], ids[k] = name, -1 - (name >> shift)
-            marks[k] = (1 << 20) + int.from_bytes(token[-3:], "little")
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown):
+            rare = [flat[k] for k in unknown.tolist()]
+            hashes = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in rare), np.uint64, len(rare))
+            names[unknown] = hashes
+            marks[unknown] = np.fromiter((int.from_bytes(t[-3:], "little") for t in rare), np.uint64, len(rare)) + np.uint64(1 << 20)
+            bits = self.v.bucket_bits
+            ids[unknown] = -1 - (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else -1
         ends = np.cumsum(sizes)
         begins = ends - sizes
         second = begins[sizes > 1] + 1
