@@ -16,13 +16,13 @@ send grows with the input.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written_once
@@ -42,11 +42,12 @@ ROUNDS, BATCH, RATE = 2, 8192, 0.15
 # features by which branches of the tree are chosen: the last word and the skip
 TREE_FEATURES = [0, 2]
 LARGEST, SHORT = 60.0, 20
-# tokens whose counts a task holds
+# counts that a task holds before it adds them up
 HELD = 1 << 19
+# texts that a task learns from together, and most texts and bytes that are encoded together if these are more
+LEARNT, TEXTS, PORTION = 64, 512, 4 << 20
 # tokens that a training task should see at least, if there are that many for each core
 TASK_TOKENS = 2_000_000
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,16 +55,36 @@ def held_out(key: Column) -> Column:
     return fold(key) % FOLDS == HELD_FOLD
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words in small ASCII letters as UTF-8, then the end. Bytes split at just the six white-space characters."""
-    return [*(text or "").encode().translate(_LOWER).split(), END.encode()]
+def portions(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Slices of texts and where they begin: one stretch of ``LEARNT`` texts or, while these are short, several."""
+    sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(texts):
+        fit = np.searchsorted(sizes, PORTION + (sizes[at - 1] if at else 0), "right") - at
+        count = max(min(int(fit), TEXTS) // LEARNT, 1) * LEARNT
+        yield at, texts.slice(at, count)
+        at += count
+
+
+def split(texts: pa.Array | list[str | None]) -> pa.LargeListArray:
+    """Words of every text in small ASCII letters, then an empty string for its end. Splits at just the six white-space characters."""
+    if not isinstance(texts, pa.Array):
+        texts = pa.array(texts, pa.large_string())
+    texts = pc.ascii_trim_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    # a blank at the end of a text leaves an empty string behind it, and an empty text is one
+    none, blank = pa.scalar("", texts.type), pa.scalar(" ", texts.type)
+    texts = pc.if_else(pc.equal(texts, none), none, pc.binary_join_element_wise(texts, none, blank))
+    # a new array by now: Arrow's ascii_lower garbles slices of others
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts))
 
 
-class Numbers(dict):
-    """Numbers of known tokens; -1 for others, which are not kept."""
+def with_end(tokens: pa.Array) -> pa.Array:
+    return pc.if_else(pc.equal(tokens, pa.scalar("", tokens.type)), pa.scalar(END, tokens.type), tokens)
 
-    def __missing__(self, token: bytes) -> int:
-        return -1
+
+def tokens_of(text: str | None) -> list[bytes]:
+    """Words as UTF-8, then the end."""
+    return [t.encode() for t in with_end(split([text]).flatten()).to_pylist()]
 
 
 @dataclass
@@ -80,7 +101,7 @@ class Vocabulary:
 
     def __post_init__(self):
         order = sorted(self.counts, key=lambda t: (-self.counts[t], t))
-        self.ids = Numbers((t.encode(), k) for k, t in enumerate(order))
+        self.tokens = pa.array(["" if t == END else t for t in order], pa.large_string())
         self.logs = np.log10(np.array([self.counts[t] for t in order] + [0], float) + 1)
         self.classed = min(CLASSES * PER_CLASS, len(order))
         inside = sum(self.counts[t] for t in order[:self.classed])
@@ -131,23 +152,29 @@ def token_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Stored counts (token, c) of all training tokens; tasks hand on what they hold whenever it is many tokens."""
     train = docs.filter(~held_out(F.col(key))).select(F.coalesce(F.col(text), F.lit("")).alias("text"))
 
-    def given(held: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()).cast(pa.string()),
-                                           pa.array(list(held.values()), pa.int64())], names=["token", "n"])
+    def added(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("n", "sum")]).rename_columns(["token", "n"])
+
+    def given(counts: pa.Table) -> Iterator[pa.RecordBatch]:
+        for part in counts.to_batches(max_chunksize=HELD):
+            tokens = with_end(part.column("token")).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([tokens, part.column("n")], names=["token", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held, size = [], 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                part = texts[at:at + 64]
-                held.update("\n".join(part).encode().translate(_LOWER).split())
-                held[END.encode()] += len(part)
-                if len(held) > HELD:
-                    yield given(held)
-                    held.clear()
+            for _, texts in portions(batch.column("text")):
+                found = split(texts).flatten().value_counts()
+                held.append(pa.table({"token": found.field("values"), "n": found.field("counts")}))
+                size += len(found)
+                if size > 2 * HELD:
+                    held = [added(held)]
+                    size = len(held[0])
+                    if size > HELD:
+                        yield from given(held[0])
+                        held, size = [], 0
         if held:
-            yield given(held)
+            yield from given(added(held))
 
     return written_once(train.mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("c")))
 
@@ -172,33 +199,56 @@ def vocabulary(counts: DataFrame) -> tuple[Vocabulary, int]:
     return Vocabulary(known, int(total), int(distinct), buckets), least
 
 
+class Room(dict):
+    """Arrays that are filled anew in every batch; getting fresh memory for each costs more than the sums."""
+
+    def rows(self, name: str, count: int, width: int) -> np.ndarray:
+        held = self.get((name, width))
+        if held is None or len(held) < count:
+            held = self[name, width] = np.empty((max(count, BATCH), width), np.float32)
+        return held[:count]
+
+    def __reduce__(self):
+        return Room, ()
+
+
+def _taken(values: np.ndarray, at: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """``values[at]``, written to ``out``; all numbers are in range, and only an unchecked mode writes there directly."""
+    return values.take(at, axis=0, out=out, mode="clip")
+
+
 class Model:
     def __init__(self, vocabulary: Vocabulary, *rows: np.ndarray):
         self.v = vocabulary
         shapes = (CLASS_ROWS, CLASSES + 1), (WORD_ROWS, PER_CLASS), (TREE_ROWS, vocabulary.fan)
         self.rows = rows or tuple(np.zeros((n << vocabulary.growth, width), np.float32) for n, width in shapes)
         self.class_rows, self.word_rows, self.tree_rows = self.rows
+        self.room = Room()
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-        """Ids of all tokens of all texts, features, the tokens themselves, and each text's number of tokens.
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray, np.ndarray]:
+        """Ids of all tokens of all texts, features, the tokens that are not known, and each text's number of tokens.
 
         The id of a token that is not known is -1 less its bucket.
         """
         import xxhash
 
-        lists = [tokens_of(t) for t in texts]
-        flat = list(chain.from_iterable(lists))
-        ids = np.fromiter(map(self.v.ids.__getitem__, flat), np.int64, len(flat))
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        lists = split(texts)
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        flat = lists.flatten()
+        ids = pc.index_in(flat, self.v.tokens).fill_null(-1).to_numpy().astype(np.int64)
         # words before: unknown ones by their hash in a pair and else by their last letters, a text's beginning by a sign of its own
         names = ids.astype(np.uint64) + np.uint64(2)
         marks = names.copy()
         unknown = np.flatnonzero(ids < 0)
+        rare = flat.take(pa.array(unknown)).dictionary_encode()
+        rare = pa.DictionaryArray.from_arrays(rare.indices, with_end(rare.dictionary))
         if len(unknown):
-            rare = [flat[k] for k in unknown.tolist()]
-            hashes = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in rare), np.uint64, len(rare))
+            tokens = rare.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+            which = rare.indices.to_numpy()
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, tokens, repeat(42)), np.uint64, len(tokens))[which]
             names[unknown] = hashes
-            marks[unknown] = np.fromiter((int.from_bytes(t[-3:], "little") for t in rare), np.uint64, len(rare)) + np.uint64(1 << 20)
+            tails = np.fromiter((int.from_bytes(t[-3:], "little") for t in tokens), np.uint64, len(tokens))
+            marks[unknown] = tails[which] + np.uint64(1 << 20)
             bits = self.v.bucket_bits
             ids[unknown] = -1 - (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else -1
         ends = np.cumsum(sizes)
@@ -219,20 +269,25 @@ class Model:
 
         features = np.stack([
             (last(marks) * _MIX) ^ np.uint64(1), ((last(names) * _MIX + before(names)) * _MIX) ^ np.uint64(2),
-            (before(marks) * _MIX) ^ np.uint64(3)], axis=1)
-        return ids, features * _MIX, flat, sizes
+            (before(marks) * _MIX) ^ np.uint64(3)])
+        features *= _MIX
+        # lines of one feature each, seen from the side
+        return ids, features.T, rare, sizes
 
     def targets(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         classed = (ids >= 0) & (ids < self.v.classed)
         return np.where(classed, ids // PER_CLASS, CLASSES), np.where(classed, ids % PER_CLASS, -1)
 
-    def _layer(self, layer: int, hashes: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _layer(self, layer: int, lines: np.ndarray, bias: np.ndarray,
+               which: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the weights, a line for each feature, and logits, which stay until the next call; bias by ``which``."""
         rows = self.rows[layer]
-        at = (hashes >> np.uint64(65 - len(rows).bit_length())).astype(np.int64)
-        logits = rows.take(at[:, 0], axis=0)
-        for k in range(1, at.shape[1]):
-            logits += rows.take(at[:, k], axis=0)
-        logits += bias
+        at = (lines >> np.uint64(65 - len(rows).bit_length())).astype(np.int64, order="C")
+        logits, more = (self.room.rows(x, at.shape[1], rows.shape[1]) for x in ("logits", "more"))
+        _taken(rows, at[0], logits)
+        for line in at[1:]:
+            logits += _taken(rows, line, more)
+        logits += bias if which is None else _taken(bias, which, more)
         return at, logits
 
     def layers(self, ids: np.ndarray, features: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -241,21 +296,22 @@ class Model:
         On the tree every token makes a choice on each level.
         """
         kind, inner = self.targets(ids)
-        yield 0, np.arange(len(ids)), *self._layer(0, features, self.v.class_bias), kind
+        lines = features.T
+        yield 0, np.arange(len(ids)), *self._layer(0, lines, self.v.class_bias), kind
         classed = np.flatnonzero(kind < CLASSES)
         if len(classed):
             cls = kind[classed]
-            low = (features[classed] + cls[:, None].astype(np.uint64)) * _MIX
-            yield 1, classed, *self._layer(1, low, self.v.word_bias.take(cls, axis=0)), inner[classed]
+            low = (lines.take(classed, axis=1) + cls.astype(np.uint64)) * _MIX
+            yield 1, classed, *self._layer(1, low, self.v.word_bias, cls), inner[classed]
         rest = np.flatnonzero(kind == CLASSES)
         if len(rest):
-            leaves, before = self.v.leaves(ids[rest]), features[rest][:, TREE_FEATURES]
+            leaves, before = self.v.leaves(ids[rest]), lines[TREE_FEATURES].take(rest, axis=1)
             for begin in self.v.levels:
                 # a level at a time, whose logits stay in the processor's cache
                 leaves, branches = np.divmod(leaves, self.v.fan)
                 nodes = leaves + begin
-                low = (before + nodes[:, None].astype(np.uint64)) * _MIX
-                yield 2, rest, *self._layer(2, low, self.v.tree_bias.take(nodes, axis=0)), branches
+                low = (before + nodes.astype(np.uint64)) * _MIX
+                yield 2, rest, *self._layer(2, low, self.v.tree_bias, nodes), branches
 
     def log_probabilities(self, ids: np.ndarray, features: np.ndarray) -> np.ndarray:
         """Natural logarithms; for tokens that are not known, that of their bucket."""
@@ -267,9 +323,14 @@ class Model:
         return out
 
 
+def _bound(logits: np.ndarray) -> None:
+    if logits.max() > LARGEST:
+        np.minimum(logits, LARGEST, out=logits)
+
+
 def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log probability of one outcome in each row. Works in place; logits are bounded so that none overflows."""
-    np.minimum(logits, LARGEST, out=logits)
+    _bound(logits)
     chosen = logits[np.arange(len(at)), at].astype(float)
     return chosen - np.log(_sums(np.exp(logits, out=logits)))
 
@@ -280,24 +341,37 @@ def _sums(values: np.ndarray) -> np.ndarray:
 
 def _errors(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Gradient of the log loss: probabilities, less one at the outcome. Works in place."""
-    np.minimum(logits, LARGEST, out=logits)
+    _bound(logits)
     np.exp(logits, out=logits)
     logits /= _sums(logits)[:, None]
     logits[np.arange(len(at)), at] -= 1
     return logits
 
 
-def _row_sums(values: np.ndarray, rows: np.ndarray, begins: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """Sums of ``values[rows]`` over stretches: short ones side by side, long ones each by itself."""
-    sums = values.take(rows[begins], axis=0)
+def _row_sums(values: np.ndarray, rows: np.ndarray, begins: np.ndarray, times: np.ndarray, room: Room) -> np.ndarray:
+    """Sums of ``values[rows]`` over stretches, longest first: short ones side by side, long ones each by itself."""
+    sums, more = (room.rows(x, len(begins), values.shape[1]) for x in ("sums", "summand"))
+    _taken(values, rows[begins], sums)
+    # stretches of more than k rows come first
+    longer = len(times) - np.cumsum(np.bincount(np.minimum(times, SHORT + 1), minlength=SHORT + 2))
     for k in range(1, SHORT):
-        more = np.flatnonzero(times > k)
-        sums[more] += values.take(rows[begins[more] + k], axis=0)
-    for k in np.flatnonzero(times > SHORT).tolist():
+        n = longer[k]
+        if not n:
+            break
+        sums[:n] += _taken(values, rows[begins[:n] + k], more[:n])
+    for k in range(longer[SHORT]):
         sums[k] += values.take(rows[begins[k] + SHORT:begins[k] + times[k]], axis=0).sum(0)
     return sums
 
 
+def _order(numbers: np.ndarray, below: int) -> np.ndarray:
+    """Stable order of numbers under ``below``, 16 bits at a time: these sort by radix."""
+    order = np.argsort(numbers.astype(np.uint16), kind="stable")
+    for shift in range(16, (below - 1).bit_length(), 16):
+        order = order[np.argsort((numbers[order] >> shift).astype(np.uint16), kind="stable")]
+    return order
+
+
 class Trainer:
     """Follows the gradient over batches of tokens; every row has a step size of its own."""
 
@@ -307,17 +381,24 @@ class Trainer:
 
     def _step(self, layer: int, at: np.ndarray, gradient: np.ndarray) -> None:
         rows, squares, met = self.state[layer]
-        # row numbers that fit 16 bits sort by radix
-        flat = at.T.astype(np.uint16 if len(rows) <= 1 << 16 else np.uint32).ravel()
-        order = np.argsort(flat, kind="stable")
+        flat = at.astype(np.uint32).ravel()
+        order = _order(flat, len(rows))
         flat = flat[order]
         begins = np.append(0, np.flatnonzero(flat[1:] != flat[:-1]) + 1)
-        names, times = flat[begins], np.diff(np.append(begins, len(flat)))
-        sums = _row_sums(gradient, order % len(at), begins, times)
+        times = np.diff(np.append(begins, len(flat)))
+        longest = _order(len(flat) - times, len(flat))
+        begins, times = begins[longest], times[longest]
+        names = flat[begins].astype(np.int64)
+        room = self.model.room
+        sums = _row_sums(gradient, order % at.shape[1], begins, times, room)
         met[names] += times
         squares[names] += np.einsum("ij,ij->i", sums, sums)
         sums *= (RATE / np.sqrt(squares[names] + 1))[:, None]
-        rows[names] -= sums
+        new = _taken(rows, names, room.rows("summand", len(names), rows.shape[1]))
+        new -= sums
+        # a row as one value: copied in one piece
+        whole = np.dtype((np.void, rows.itemsize * rows.shape[1]))
+        rows.view(whole)[names, 0] = new.view(whole)[:, 0]
 
     def learn(self, ids: np.ndarray, features: np.ndarray) -> None:
         for at in range(0, len(ids), BATCH):
@@ -343,10 +424,12 @@ def _train_round(train: DataFrame, model: Model) -> Model:
         mine = Model(base.v, *[rows.copy() for rows in base.rows])
         trainer, any_rows = Trainer(mine), False
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                ids, features, _, _ = mine.encode(texts[at:at + 64])
-                trainer.learn(ids, features)
+            for _, texts in portions(batch.column("text")):
+                ids, features, _, sizes = mine.encode(texts)
+                cuts = np.append(0, np.cumsum(sizes))
+                cuts = [*cuts[:-1:LEARNT].tolist(), len(ids)]
+                for a, b in zip(cuts, cuts[1:]):
+                    trainer.learn(ids[a:b], features[a:b])
                 any_rows = True
         if not any_rows:
             return
@@ -408,29 +491,25 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         model = sent.value
         v = model.v
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                part = texts[at:at + 64]
-                ids, features, flat, sizes = model.encode(part)
+            for at, texts in portions(batch.column("text")):
+                ids, features, rare, sizes = model.encode(texts)
                 logs = model.log_probabilities(ids, features) / np.log(10)
                 # in a bucket: add-one share of its training counts, which follow from the join
                 logs -= np.where(ids < 0, v.bucket_logs[np.maximum(-1 - ids, 0)], 0)
                 base = v.logs[np.maximum(ids, -1)]
                 begins = np.cumsum(sizes) - sizes
-                unknown = np.flatnonzero(ids < 0)
-                cuts = np.searchsorted(unknown, np.append(begins, len(ids))).tolist()
-                unknown, offsets, tokens, times = unknown.tolist(), [0], [], []
-                for a, b in zip(cuts, cuts[1:]):
-                    missing = Counter([flat[k] for k in unknown[a:b]])
-                    tokens += missing.keys()
-                    times += missing.values()
-                    offsets.append(len(tokens))
+                # tokens that are not known, once for each text
+                owners = np.repeat(np.arange(len(sizes)), sizes)[ids < 0]
+                kinds = max(len(rare.dictionary), 1)
+                missing, times = np.unique(owners * kinds + rare.indices.to_numpy(), return_counts=True)
+                offsets = np.searchsorted(missing, np.arange(len(sizes) + 1) * kinds)
+                tokens = rare.dictionary.take(pa.array(missing % kinds)).cast(pa.string())
                 rest = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
-                    [pa.array(tokens, pa.binary()).cast(pa.string()), pa.array(times, pa.int64())], names=["token", "n"]))
+                    [tokens, pa.array(times, pa.int64())], names=["token", "n"]))
                 yield pa.RecordBatch.from_pydict({
                     "n_tokens": sizes, "known": np.add.reduceat(ids >= 0, begins, dtype=np.int64),
                     "logs": np.add.reduceat(base, begins), "score": np.add.reduceat(logs, begins),
-                    "id": batch.column("id").slice(at, 64), "mark": batch.column("mark").slice(at, 64),
+                    "id": batch.column("id").slice(at, len(texts)), "mark": batch.column("mark").slice(at, len(texts)),
                     "rest": rest})
 
     id_type = docs.schema[key].dataType.simpleString()

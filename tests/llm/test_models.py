@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -132,6 +133,78 @@ def test_model_beats_unigrams_on_held_out_text(spark):
     assert held[0] > 0.8 * held[1]
 
 
+def test_texts_are_encoded_as_arrow_and_each_unknown_token_is_hashed_once(monkeypatch):
+    known = {"the": 9, "cat": 5, maxent.END: 4}
+    model = maxent.Model(maxent.Vocabulary(known, 40, 20, np.array([3.0, 1.0, 7.0, 2.0])))
+    order, hashed, plain = ["the", "cat", maxent.END], [], xxhash.xxh64_intdigest
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda *a: hashed.append(a[0]) or plain(*a))
+    texts = [None, "", " \t\n", "The\x0bCAT zz\x1czz zz  ZZ\n", "É the\xa0cat zz", "cat\x00 the"]
+    ids, features, rare, sizes = model.encode(pa.array(texts))
+    assert sorted(hashed) == sorted({"zz\x1czz".encode(), b"zz", "É".encode(), "the\xa0cat".encode(), b"cat\x00"})
+    words = [w.decode() for t in texts for w in maxent.tokens_of(t)]
+    assert words == [t or maxent.END for x in texts for t in tokens(x)]
+    assert sizes.tolist() == [len(tokens(t)) for t in texts]
+    assert ids.tolist() == [order.index(w) if w in known else -1 - (plain(w.encode(), 42) >> 62) for w in words]
+    assert rare.to_pylist() == [w for w in words if w not in known]
+    apart = [model.encode([t]) for t in texts]
+    assert np.array_equal(features, np.concatenate([x[1] for x in apart])), "texts do not reach into each other"
+
+
+def test_training_steps_add_up_the_gradient_of_every_row(monkeypatch):
+    """Against sums in the plainest way, with rows met once, often, and more often than ``SHORT``; memory is used again."""
+    rng = random.Random(8)
+    words = {f"w{k}": 400 // (k + 1) + 1 for k in range(300)} | {maxent.END: 50}
+    few_classes(monkeypatch, 8)
+    monkeypatch.setattr(maxent, "BATCH", 500)
+    model, want = (maxent.Model(maxent.Vocabulary(words, sum(words.values()) + 9, 310)) for _ in range(2))
+    trainer, squares = maxent.Trainer(model), [np.zeros(len(rows)) for rows in want.rows]
+    names, weights = [*words, "zz"], [*words.values(), 20]
+    for _ in range(3):
+        ids, features, _, _ = model.encode([" ".join(rng.choices(names, weights, k=200)) for _ in range(6)])
+        trainer.learn(ids, features)
+        for at in range(0, len(ids), maxent.BATCH):
+            for layer, _, rows, logits, outcomes in want.layers(ids[at:at + maxent.BATCH], features[at:at + maxent.BATCH]):
+                shares = np.exp(logits.astype(float))
+                shares /= shares.sum(1, keepdims=True)
+                shares[np.arange(len(outcomes)), outcomes] -= 1
+                sums = np.zeros(want.rows[layer].shape)
+                for line in rows:
+                    np.add.at(sums, line, shares)
+                squares[layer] += (sums * sums).sum(1)
+                want.rows[layer][:] -= sums * (maxent.RATE / np.sqrt(squares[layer] + 1))[:, None]
+    assert max(met.max() for _, _, met in trainer.state) > maxent.SHORT
+    for found, expected in zip(model.rows, want.rows):
+        assert np.abs(expected).max() > 0.1
+        assert found == pytest.approx(expected, abs=1e-4)
+
+
+def test_portions_hold_whole_stretches_and_few_bytes(monkeypatch):
+    monkeypatch.setattr(maxent, "LEARNT", 2)
+    monkeypatch.setattr(maxent, "TEXTS", 6)
+    monkeypatch.setattr(maxent, "PORTION", 20)
+    texts = ["a"] * 9 + ["b" * 90, None, "c" * 8, "d" * 8, "e" * 7, "", "f"]
+    found = [(at, part.to_pylist()) for at, part in maxent.portions(pa.array(texts))]
+    assert [at for at, _ in found] == [0, 6, 8, 10, 12] and [t for _, part in found for t in part] == texts
+    assert [*maxent.portions(pa.array([], pa.string()))] == []
+
+
+def test_row_numbers_are_sorted_stably_at_any_size():
+    rng = np.random.default_rng(3)
+    for below in (1, 2, 1 << 16, (1 << 16) + 1, 1 << 20, 1 << 33):
+        for numbers in rng.integers(0, below, 3000), rng.integers(max(below - 5, 0), below, 3000):
+            assert np.array_equal(maxent._order(numbers, below), np.argsort(numbers, kind="stable"))
+
+
+def test_token_counts_are_added_up_whenever_a_task_holds_many(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "HELD", 3)
+    monkeypatch.setattr(maxent, "LEARNT", 2)
+    monkeypatch.setattr(maxent, "TEXTS", 4)
+    texts = [None, "", "a b c d e f g", "B\x1c b  a", "\n", "x y z a A", "é É", "a", "b q r s t"] * 3
+    data = [(k, t) for k, t in zip([k for k in range(200) if fold(k, 7) != 2], texts)]
+    found = maxent.token_counts(spark.createDataFrame(data, "doc_id long, text string").coalesce(1), "doc_id", "text")
+    assert {r.token: r.c for r in found.collect()} == Counter(t or maxent.END for _, x in data for t in tokens(x))
+
+
 def test_language_model_without_training_rows(spark, no_docs):
     assert maxent.scored(no_docs).count() == 0
     held = next(k for k in range(100) if fold(k, 7) == 2)
